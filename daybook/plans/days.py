@@ -80,13 +80,9 @@ def publish_parameters(spark: SparkSession, bounds: DayBounds) -> None:
 
 
 def within_parameters(rows: DataFrame, parameters: DataFrame, time_column: str) -> DataFrame:
-    """Rows inside the one-row parameter table's range, both ends included.
+    """Rows inside the range of a one-row parameter table, both ends included.
 
-    Literal bounds (``DayBounds.contains``) prune the scan and this does not;
-    use it where the bounds only exist as a table.
+    The bounds are scalar subqueries: read once, before the scan, and no join.
     """
-    one_row = F.broadcast(
-        parameters.agg(F.max("start_time").alias("_start"), F.max("end_time").alias("_end"))
-    )
-    inside = F.col(time_column).between(F.col("_start"), F.col("_end"))
-    return rows.join(one_row, inside, "inner").drop("_start", "_end")
+    start, end = (parameters.select(c).scalar() for c in ("start_time", "end_time"))
+    return rows.filter(F.col(time_column).between(start, end))

@@ -53,6 +53,17 @@ def replace_day(rows: DataFrame, table: str, spec: TableSpec, day: dt.date) -> N
     )
 
 
+def _overwrite(rows: DataFrame, table: str, mode: str) -> None:
+    """Overwrite the partitions present (dynamic) or the whole table (static)."""
+    conf, key = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, mode)
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(key, before)
+
+
 def replace_days(
     rows: DataFrame, table: str, spec: TableSpec, days: Iterable[dt.date] | None = None
 ) -> None:
@@ -74,7 +85,7 @@ def replace_days(
         gathered = gathered.observe(
             written, *[F.count_if(day_column == F.lit(d)).alias(d.isoformat()) for d in named]
         )
-    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    _overwrite(gathered, table, "dynamic")
     for day in named:
         if not written.get[day.isoformat()]:
             spark.sql(
@@ -85,7 +96,7 @@ def replace_days(
 def replace_all(rows: DataFrame, table: str, spec: TableSpec) -> None:
     """Make ``rows``, which carry the day column, the whole table."""
     gathered = align(rows, spec.stored_schema).hint("rebalance", F.col(spec.day_column))
-    gathered.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(table)
+    _overwrite(gathered, table, "static")
 
 
 def read_table(

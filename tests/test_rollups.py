@@ -1,0 +1,277 @@
+"""The rollups against a row-by-row rendering of what they mean."""
+
+import datetime as dt
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.functions import bags
+from daybook.functions.sketches import distinct_estimate, key_sketch
+from daybook.operators.aggregates import AGE_BANDS, participant_aggregate, sorted_bag, vehicle_aggregate
+from daybook.plans import rollups
+
+INCIDENT = (
+    "crash_record_id string, crash_date timestamp, is_am boolean, damage_estimate int,"
+    " injuries_total int, injuries_fatal int, weather_condition string,"
+    " lighting_condition string, hit_and_run_i boolean, street_name string, latitude double,"
+    " longitude double, road_defect string"
+)
+PERSON = (
+    "crash_record_id string, bac_result string, hospital string, sex string, age int,"
+    " airbag_deployed boolean, cell_phone_use boolean"
+)
+VEHICLE = (
+    "crash_record_id string, vehicle_use string, make string, fire_i boolean,"
+    " occupant_cnt bigint, hazmat_class string"
+)
+WHEN = dt.datetime(2024, 4, 20, 20, 40)
+
+
+def incident(key, when=WHEN, damage=100, hurt=1, dead=0, weather="CLEAR", hit=None):
+    return (key, when, False, damage, hurt, dead, weather, "DAYLIGHT", hit, "LAKE ST", 41.5, -87.5, None)
+
+
+def person(key, bac=None, hospital=None, sex=None, age=None, airbag=None, phone=None):
+    return (key, bac, hospital, sex, age, airbag, phone)
+
+
+def vehicle(key, use=None, make=None, fire=None, occupants=None, hazmat=None):
+    return (key, use, make, fire, occupants, hazmat)
+
+
+def frames(spark, incidents, people, vehicles):
+    return (
+        spark.createDataFrame(incidents, INCIDENT),
+        spark.createDataFrame(people, PERSON),
+        spark.createDataFrame(vehicles, VEHICLE),
+    )
+
+
+def expected_summary(incidents, people, vehicles):
+    """One tuple of the summary's values per distinct incident row."""
+    of_people, of_vehicles = defaultdict(list), defaultdict(list)
+    for p in people:
+        of_people[p[0]].append(p)
+    for v in vehicles:
+        of_vehicles[v[0]].append(v)
+    rows = []
+    for row, copies in Counter(incidents).items():
+        key, when, am, damage, hurt, dead, weather, light, hit, street, lat, lon, defect = row
+        found = of_people[key]
+        if found:
+            ages = [p[4] for p in found if p[4] is not None]
+            band = [any(b.low is None and a <= b.high or b.high is None and a >= b.low
+                        or None not in (b.low, b.high) and b.low <= a <= b.high for a in ages)
+                    for b in AGE_BANDS]
+            added = [
+                any(p[6] for p in found),
+                any(p[1] not in (None, "", "n/a") and float(p[1]) > 0.08 for p in found),
+                sorted({p[2] for p in found if p[2] is not None}),
+                sorted({p[3] for p in found if p[3] is not None}),
+                *band,
+                sorted(str(p[5]).lower() for p in found if p[5] is not None),
+            ]
+        else:
+            added = [None] * 12
+        own = of_vehicles[key]
+        fires = [v[3] for v in own if v[3] is not None]
+        seats = [v[4] for v in own if v[4] is not None]
+        rows.append(
+            (when, key, am, damage, hurt, dead, weather, light, hit, street, lat, lon, defect,
+             *added,
+             sorted([v[1] for v in own if v[1] is not None] * copies),
+             sorted([v[2] for v in own if v[2] is not None] * copies),
+             any(fires) if fires else None,
+             any(v[5] not in (None, "") for v in own),
+             sum(seats) * copies if seats else None)
+        )
+    return rows
+
+
+def same(got, expected):
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
+
+
+def mixed(seed, n, hot_share=0.0):
+    """Random rows; ``hot_share`` of people and vehicles belong to incident 0."""
+    r = random.Random(seed)
+
+    def key():
+        return "0" if r.random() < hot_share else str(r.randrange(int(n * 1.2)))
+
+    def pick(*values):
+        return r.choice(values)
+
+    incidents = [
+        incident(str(k), WHEN + dt.timedelta(hours=r.randrange(40)), r.randrange(9),
+                 r.randrange(3), r.randrange(2), pick("CLEAR", "RAIN", None), pick(True, False, None))
+        for k in range(n)
+    ]
+    people = [
+        person(key(), pick("0.05", "0.2", "", "n/a", None), pick("A", "B", None),
+               pick("F", "M", None), pick(None, *range(0, 100, 3)), pick(True, False, None),
+               pick(True, False, None))
+        for _ in range(n * 3)
+    ]
+    vehicles = [
+        vehicle(key(), pick("TAXI", "BUS", None), pick("X", "Y", "Z", None),
+                pick(True, False, None), pick(1, 2, None), pick("", "3", None))
+        for _ in range(n * 2)
+    ]
+    return incidents, people, vehicles
+
+
+@pytest.mark.parametrize("hot_share", [0.0, 0.4])
+@pytest.mark.parametrize("lists", [True, False])
+def test_summary_of_mixed_rows(spark, hot_share, lists):
+    data = mixed(7, 400, hot_share)
+    data[0].extend(data[0][:5])  # repeated headers
+    i, p, v = frames(spark, *data)
+    got = rollups.vehicle_summary(rollups.people_summary(i, p, lists=lists), v)
+    assert len(got.columns) == 30
+    same(got.collect(), expected_summary(*data))
+
+
+def test_narrow_gives_the_same(spark):
+    incidents, people, vehicles = mixed(8, 300, 0.3)
+    i, p, v = frames(spark, incidents[:50], people, vehicles)
+    wide = rollups.vehicle_summary(rollups.people_summary(i, p), v)
+    narrow = rollups.vehicle_summary(rollups.people_summary(i, p, narrow=True), v, narrow=True)
+    same(narrow.collect(), [tuple(r) for r in wide.collect()])
+    same(narrow.collect(), expected_summary(incidents[:50], people, vehicles))
+
+
+def test_people_summary_keeps_repeated_headers(spark):
+    i, p, _ = frames(spark, [incident("a")] * 3, [person("a", sex="F")], [vehicle("a")])
+    rows = rollups.people_summary(i, p).collect()
+    assert len(rows) == 3 and len(rows[0]) == 25
+
+
+def test_incident_without_children(spark):
+    i, p, v = frames(spark, [incident("a")], [person("b")], [vehicle("b")])
+    got = rollups.vehicle_summary(rollups.people_summary(i, p), v).first()
+    assert got["list_of_hospital"] is None and got["is_drunk"] is None
+    assert got["list_of_airbag_deployed"] is None
+    assert got["vehicle_uses"] == [] and got["vehicle_makes"] == []
+    assert got["fire_happened"] is None and got["num_people_involved"] is None
+    assert got["hazmat_involved"] is False
+
+
+def test_children_without_values(spark):
+    i, p, v = frames(spark, [incident("a")], [person("a")], [vehicle("a")])
+    got = rollups.vehicle_summary(rollups.people_summary(i, p), v).first()
+    assert got["list_of_hospital"] == [] and got["list_of_airbag_deployed"] == []
+    assert got["is_cell_phone_use"] is False and got["is_age_senior"] is False
+    assert got["vehicle_uses"] == [] and got["hazmat_involved"] is False
+
+
+@pytest.mark.parametrize(
+    ("age", "band"),
+    [(4, "is_age_below_5"), (5, None), (9, None), (10, "is_age_10s"), (19, "is_age_10s"),
+     (20, "is_age_20s"), (59, "is_age_50s"), (60, "is_age_senior"), (None, None)],
+)
+def test_age_bands(spark, age, band):
+    got = participant_aggregate(spark.createDataFrame([person("a", age=age)], PERSON)).first()
+    assert [b.name for b in AGE_BANDS if got[b.name]] == ([band] if band else [])
+
+
+def test_missing_and_empty_lists_are_different_groups(spark):
+    data = [incident("a"), incident("b")], [person("a")], [vehicle("c")]
+    i, p, v = frames(spark, *data)
+    cube = rollups.incident_cube(i, p, v, ["crash_day", "list_of_hospital"])
+    assert {(str(r[0]), str(r[1])) for r in cube.collect()} == {
+        ("2024-04-20", "[]"), ("2024-04-20", "None"),
+    }
+
+
+def test_order_of_airbags_makes_no_group(spark):
+    people = [person("a", airbag=True), person("a", airbag=False),
+              person("b", airbag=False), person("b", airbag=True)]
+    i, p, v = frames(spark, [incident("a"), incident("b")], people, [vehicle("c")])
+    row = rollups.incident_cube(i, p, v).collect()
+    assert len(row) == 1 and row[0]["list_of_airbag_deployed"] == ["false", "true"]
+
+
+@pytest.mark.parametrize("hot_share", [0.0, 0.4])
+def test_cube(spark, hot_share):
+    data = mixed(9, 300, hot_share)
+    i, p, v = frames(spark, *data)
+    groups = defaultdict(lambda: [None, None, None, None, set()])
+
+    def add(total, value):
+        return total if value is None else (total or 0) + value
+
+    for row in expected_summary(*data):
+        when, key, am, damage, hurt, dead, weather, light, hit, street, lat, lon, defect = row[:13]
+        drives, drunk, hospitals, sexes = row[13:17]
+        bands, airbags, uses, makes, fire, hazmat, seats = row[17:24], *row[24:]
+        dims = (when.date(), lat, lon, hospitals, sexes, airbags, uses, makes, am, weather, light,
+                hit, street, defect, drives, drunk, *bands, fire, hazmat)
+        group = groups[repr(dims)]
+        for at, value in enumerate((seats, hurt, dead, damage)):
+            group[at] = add(group[at], value)
+        group[4].add(key)
+    cube = rollups.incident_cube(i, p, v)
+    cube = cube.withColumn("n", distinct_estimate(F.col(rollups.SKETCH))).drop(rollups.SKETCH)
+    got = {repr(tuple(r)[:25]): tuple(r)[25:] for r in cube.collect()}
+    assert got == {k: (*g[:4], len(g[4])) for k, g in groups.items()}
+    stored = rollups.cube(rollups.vehicle_summary(rollups.people_summary(i, p), v))
+    assert stored.count() == len(got)
+
+
+def test_merged_cube_counts_each_incident_once(spark):
+    incidents, people, vehicles = mixed(10, 300)
+    # the same incident on two days is in two groups of the cube
+    incidents += [incident(k, WHEN + dt.timedelta(days=9), weather="RAIN") for k in "123"]
+    i, p, v = frames(spark, incidents, people, vehicles)
+    merged = rollups.merge_cube(rollups.incident_cube(i, p, v), ["weather_condition"])
+    keys = defaultdict(set)
+    damage = Counter()
+    for row in set(incidents):
+        keys[row[6]].add(row[0])
+        damage[row[6]] += row[3]
+    assert {r["weather_condition"]: (r["crashes"], r["total_damage"]) for r in merged.collect()} == {
+        w: (len(k), damage[w]) for w, k in keys.items()
+    }
+
+
+def test_hot_bag_is_collected_as_counts(spark):
+    """One incident with 400,000 vehicles is three entries until it is written out."""
+    hot = spark.range(400_000).select(
+        F.lit("hot").alias("crash_record_id"),
+        F.element_at(F.array(F.lit("BUS"), F.lit("TAXI"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("vehicle_use"),
+        F.lit("X").alias("make"), F.lit(None).cast("boolean").alias("fire_i"),
+        F.lit(1).cast("bigint").alias("occupant_cnt"), F.lit("").alias("hazmat_class"),
+    )
+    got = vehicle_aggregate(hot).first()
+    assert [tuple(e) for e in got["vehicle_uses"]] == [("BUS", 133334), ("TAXI", 133333)]
+    assert [tuple(e) for e in got["vehicle_makes"]] == [("X", 400000)]
+    assert got["num_people_involved"] == 400000
+    listed = sorted_bag(hot, ["crash_record_id"], "vehicle_use", "uses").first()["uses"]
+    assert Counter(listed) == {"BUS": 133334, "TAXI": 133333} and listed == sorted(listed)
+
+
+def test_bag_of_repeated_values(spark):
+    rows = spark.sql(
+        "SELECT array(struct('a' AS value, 2L AS n), struct('a' AS value, 3L AS n),"
+        " struct('b' AS value, 1L AS n)) AS e"
+    )
+    bag = rows.select(bags.folded(F.col("e")).alias("b"))
+    assert bag.first()["b"] == [("a", 5), ("b", 1)]
+    assert bag.select(bags.as_list(F.col("b")).alias("l")).first()["l"] == ["a"] * 5 + ["b"]
+    twice = bag.select(bags.repeat_bag(F.col("b"), F.lit(2)).alias("b"))
+    assert twice.first()["b"] == [("a", 10), ("b", 2)]
+
+
+def test_sketches(spark):
+    def estimate(rows, column):
+        sketch = key_sketch(F.col(column))
+        return rows.agg(distinct_estimate(sketch).alias("n")).first()["n"]
+
+    letters = spark.createDataFrame([("a",), ("b",), ("c",), ("a",), (None,)], "k string")
+    assert estimate(letters, "k") == 3
+    assert estimate(letters.filter("k IS NULL"), "k") == 0
+    assert estimate(spark.range(4000), "id") == 4000
+    assert estimate(spark.range(200_000), "id") == pytest.approx(200_000, rel=0.05)
