@@ -21,7 +21,10 @@ TYPE_NAMES: dict[str, T.DataType] = {
     "bool": T.BooleanType(),
 }
 
-_DECIMAL_TEXT = r"^[\s\p{Cntrl}]*([+-]?)([0-9]*)[.][0-9]*[\s\p{Cntrl}]*$"
+_BLANK = r"[\s\p{Cntrl}]*"
+_WHOLE_PART = rf"^{_BLANK}([+-]?[0-9]+)([.][0-9]*)?{_BLANK}$"
+_NO_WHOLE_PART = rf"^{_BLANK}[+-]?[.][0-9]*{_BLANK}$"
+_MAY_BE_NUMBER = "(?i)[0-9]|nan|inf"
 
 
 def type_named(name: str) -> T.DataType:
@@ -34,12 +37,16 @@ def type_named(name: str) -> T.DataType:
 def whole_number(text: Column, target: T.DataType) -> Column:
     """Integer text, or decimal text cut at the point (``12.7`` reads as 12).
 
-    The pattern is only tried on values that are no plain integer.
+    The patterns keep other text from the cast, which is slow when it fails.
     """
-    sign = F.regexp_extract(text, _DECIMAL_TEXT, 1)
-    digits = F.regexp_extract(text, _DECIMAL_TEXT, 2)
-    cut = F.when(text.rlike(_DECIMAL_TEXT), F.concat(sign, F.lit("0"), digits))
-    return F.coalesce(text.try_cast(target), cut.try_cast(target))
+    whole = F.regexp_extract(text, _WHOLE_PART, 1)
+    zero = F.when(text.rlike(_NO_WHOLE_PART), F.lit(0).cast(target))
+    return F.when(whole != "", whole.try_cast(target)).otherwise(zero)
+
+
+def floating_point(text: Column, target: T.DataType) -> Column:
+    """Text as a float or double; only tried where it may be a number."""
+    return F.when(text.rlike(_MAY_BE_NUMBER), text.try_cast(target))
 
 
 def cast_value(
@@ -54,4 +61,6 @@ def cast_value(
         return value.cast(target)
     if isinstance(source, T.StringType) and isinstance(target, (T.IntegerType, T.LongType)):
         return whole_number(value, target)
+    if isinstance(source, T.StringType) and isinstance(target, (T.FloatType, T.DoubleType)):
+        return floating_point(value, target)
     return value.try_cast(target)

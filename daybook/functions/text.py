@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from daybook.functions.casts import floating_point
 
 # What the source writes, and what each spelling means.
 YES_WORDS = ("y", "true", "1", "yes")
@@ -12,6 +15,7 @@ NOT_DEPLOYED = "not deploy"
 OPEN_BAND = "OVER"
 CAPPED_BAND = "OR LESS"
 CAPPED_BAND_LOW = 1
+RANGE_MARK = "-"
 
 # Every character that counts as blank at the ends of a value.
 BLANKS = (
@@ -41,42 +45,48 @@ def airbag_state(text: Column) -> Column:
     )
 
 
-def _band_text(text: Column) -> Column:
-    return strip(F.upper(F.replace(text, F.lit(","), F.lit(""))))
+def _bare(text: Column) -> Column:
+    return F.replace(text, F.lit(","), F.lit(""))
+
+
+def _is_open(text: Column) -> Column:
+    return strip(F.upper(_bare(text))).startswith(OPEN_BAND)
+
+
+def _is_capped(text: Column) -> Column:
+    return F.upper(_bare(text)).contains(CAPPED_BAND)
+
+
+def _is_range(text: Column) -> Column:
+    return text.contains(RANGE_MARK)
 
 
-def _number(band: Column, pattern: str) -> Column:
-    """The captured digits as a number; null where there are none or too many."""
-    return F.regexp_extract(band, pattern, 1).try_cast("bigint")
+def _number(text: Column, pattern: str) -> Column:
+    """The captured digits as a number; null where there are none or too many.
+
+    A cast that fails is far slower than one not tried.
+    """
+    digits = F.regexp_extract(_bare(text), pattern, 1)
+    return F.when(digits != "", digits.try_cast("bigint"))
 
 
 def amount_low(text: Column) -> Column:
-    band = _band_text(text)
-    first = _number(band, _FIRST_NUMBER)
+    first, second = _number(text, _FIRST_NUMBER), _number(text, _SECOND_NUMBER)
+    floor = F.lit(CAPPED_BAND_LOW).cast("bigint")
     return (
-        F.when(band.startswith(OPEN_BAND), first)
-        .when(
-            band.contains(CAPPED_BAND),
-            F.when(first.isNotNull(), F.lit(CAPPED_BAND_LOW).cast("bigint")),
-        )
-        .when(
-            band.contains("-"),
-            F.when(_number(band, _SECOND_NUMBER).isNotNull(), first),
-        )
+        F.when(_is_open(text), first)
+        .when(_is_capped(text), F.when(first.isNotNull(), floor))
+        .when(_is_range(text), F.when(second.isNotNull(), first))
         .otherwise(first)
     )
 
 
 def amount_high(text: Column) -> Column:
-    band = _band_text(text)
-    first = _number(band, _FIRST_NUMBER)
+    first, second = _number(text, _FIRST_NUMBER), _number(text, _SECOND_NUMBER)
     return (
-        F.when(band.startswith(OPEN_BAND), F.lit(None).cast("bigint"))
-        .when(band.contains(CAPPED_BAND), first)
-        .when(
-            band.contains("-"),
-            F.when(first.isNotNull(), _number(band, _SECOND_NUMBER)),
-        )
+        F.when(_is_open(text), F.lit(None).cast("bigint"))
+        .when(_is_capped(text), first)
+        .when(_is_range(text), F.when(first.isNotNull(), second))
         .otherwise(first)
     )
 
@@ -88,26 +98,29 @@ def amount_band(text: Column) -> Column:
 
 def amount_estimate(text: Column) -> Column:
     """Midpoint of a closed band, the lower end of an open one."""
-    low, high = amount_low(text), amount_high(text)
-    middle = F.call_function("div", F.try_add(low, high), F.lit(2))
-    return F.when(high.isNull(), low).otherwise(middle).try_cast("int")
+    first, second = _number(text, _FIRST_NUMBER), _number(text, _SECOND_NUMBER)
+
+    def middle(low: Column, high: Column) -> Column:
+        return F.call_function("div", F.try_add(low, high), F.lit(2))
+
+    estimate = (
+        F.when(_is_open(text), first)
+        .when(_is_capped(text), middle(F.lit(CAPPED_BAND_LOW).cast("bigint"), first))
+        .when(_is_range(text), middle(first, second))
+        .otherwise(first)
+    )
+    return estimate.try_cast("int")
 
 
 def amount_unreadable(text: Column) -> Column:
     """A band that announces numbers and then gives none that fit."""
-    band = _band_text(text)
-    announced = (
-        band.startswith(OPEN_BAND)
-        | band.contains(CAPPED_BAND)
-        | band.contains("-")
-        | band.rlike("[0-9]")
-    )
+    announced = _is_open(text) | _is_capped(text) | text.rlike(f"{RANGE_MARK}|[0-9]")
     return F.coalesce(announced & amount_estimate(text).isNull(), F.lit(False))
 
 
 def number_or_null(text: Column) -> Column:
-    """Empty text is null, other text a double if it reads as one."""
-    return F.nullif(text, F.lit("")).try_cast("double")
+    """Text as a double if it reads as one; empty text does not."""
+    return floating_point(text, T.DoubleType())
 
 
 def filled(text: Column) -> Column:
