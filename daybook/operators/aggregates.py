@@ -82,7 +82,8 @@ def vehicle_aggregate(vehicles: DataFrame) -> DataFrame:
     """One row per incident; uses and makes as bags.
 
     The first grouping spreads an incident over reducers by use and make, so
-    the second collects distinct combinations and never single vehicles.
+    the second collects distinct combinations and never single vehicles. They
+    move by incident as plain rows: lists would only be built to be merged.
     """
     combinations = vehicles.groupBy(KEY, "vehicle_use", "make").agg(
         F.count(F.lit(1)).alias("n"),
@@ -90,7 +91,7 @@ def vehicle_aggregate(vehicles: DataFrame) -> DataFrame:
         F.sum("occupant_cnt").alias("occupants"),
         F.bool_or(filled(F.col("hazmat_class"))).alias("hazmat"),
     )
-    collected = combinations.groupBy(KEY).agg(
+    collected = combinations.repartition(KEY).groupBy(KEY).agg(
         bags.collected_entries(F.col("vehicle_use"), F.col("n")).alias("vehicle_uses"),
         bags.collected_entries(F.col("make"), F.col("n")).alias("vehicle_makes"),
         F.bool_or("fire").alias("fire_happened"),
@@ -106,6 +107,5 @@ def sorted_bag(rows: DataFrame, keys: list[str], value: str, name: str) -> DataF
     """Per group, the sorted list of a column with duplicates kept."""
     counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     bag = bags.collected_entries(F.col(value), F.col("n"))
-    return counted.groupBy(*keys).agg(bag.alias("bag")).select(
-        *keys, bags.as_list(F.col("bag")).alias(name)
-    )
+    grouped = counted.repartition(*keys).groupBy(*keys).agg(bag.alias("bag"))
+    return grouped.select(*keys, bags.as_list(F.col("bag")).alias(name))

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions.times import DEFAULT_ZONE, local_day
 from daybook.operators.conform import align, debug_frame
@@ -25,17 +26,26 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class Dataset:
-    """A dataset to land and ingest; ``transform`` names how to type it."""
+    """A dataset to land and ingest; ``transform`` names how to type it.
+
+    ``raw_columns`` declares the landed columns as DDL. Without it the footers
+    of all landed files are read to find them.
+    """
 
     name: str
     time_column: str = "crash_date"
     columns: tuple[str, ...] | None = None
     transform: str | None = None
+    raw_columns: str | None = None
 
     def __post_init__(self) -> None:
         if self.transform is None and self.name in TRANSFORMS:
             object.__setattr__(self, "transform", self.name)
 
+    @property
+    def raw_schema(self) -> T.StructType | None:
+        return T.StructType.fromDDL(self.raw_columns) if self.raw_columns else None
+
 
 DATASETS = tuple(Dataset(name) for name in TRANSFORMS)
 
@@ -55,9 +65,10 @@ class Warehouse:
         if spec is None and name not in TABLES:
             raise ValueError(f"no declared table named {name}")
         spec = spec or TABLES[name]
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
-        place = f"{self.location.rstrip('/')}/{name}" if self.location else None
-        ensure_table(self.spark, self.table(name), spec, place)
+        folder = self.location.rstrip("/") if self.location else None
+        place = f" LOCATION '{folder}'" if folder else ""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{place}")
+        ensure_table(self.spark, self.table(name), spec, folder and f"{folder}/{name}")
         return spec
 
     def read(self, name: str, days: Iterable[dt.date] | None = None) -> DataFrame:
@@ -104,7 +115,8 @@ def ingest_day(
     Rows and unreadable values are counted while the day is written.
     """
     spec = warehouse.ensure(dataset.name, spec)
-    raw = read_day(warehouse.spark, f"{root.rstrip('/')}/{dataset.name}", day)
+    folder = f"{root.rstrip('/')}/{dataset.name}"
+    raw = read_day(warehouse.spark, folder, day, dataset.raw_schema)
     counted = {
         f"rejected.{name}": count
         for name, count in rejects(dataset.transform, raw, spec.schema, zone).items()
@@ -134,7 +146,7 @@ def ingest_days(
 ) -> None:
     """Type every landed day in one job and replace those days of the table."""
     spec = warehouse.ensure(dataset.name, spec)
-    raw = read_days(warehouse.spark, f"{root.rstrip('/')}/{dataset.name}")
+    raw = read_days(warehouse.spark, f"{root.rstrip('/')}/{dataset.name}", dataset.raw_schema)
     typed = transform(dataset.transform, raw, spec.schema, zone)
     dated = typed.withColumn(spec.day_column, F.make_date("year", "month", "day"))
     replace_days(dated, warehouse.table(dataset.name), spec)
@@ -179,30 +191,50 @@ def _service_day(bounds: DayBounds) -> list[dt.date]:
     return [bounds.day]
 
 
-def _people_stage(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
-    incidents = warehouse.read("crashes", [bounds.day]).filter(bounds.contains(F.col("crash_date")))
-    return rollups.people_summary(incidents, warehouse.read("crashes_people"), narrow=True)
+def _around(first: dt.date, last: dt.date, margin: int) -> list[dt.date]:
+    start = first - dt.timedelta(days=margin)
+    return [start + dt.timedelta(days=n) for n in range((last - first).days + 2 * margin + 1)]
 
 
-def _vehicle_stage(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
-    summary = warehouse.read("crashes_people_summary", [bounds.day]).drop(SERVICE_DAY)
-    return rollups.vehicle_summary(summary, warehouse.read("crashes_vehicles"), narrow=True)
+def daily_stages(child_margin: int | None = None) -> tuple[Stage, ...]:
+    """The three rollups for a day's run.
 
+    People and vehicles of the day's incidents are looked for in all stored
+    days. Where the source keeps them within some days of their incident,
+    ``child_margin`` limits the scan to that many days around it.
+    """
 
-def _cube_stage(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
-    """The UTC days the run touches, whole: they reach into neighbouring local days."""
-    touched = bounds.utc_days()
-    first, last = touched[0] - dt.timedelta(days=1), touched[-1] + dt.timedelta(days=1)
-    nearby = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
-    summary = warehouse.read("crashes_people_vehicle_summary", nearby)
-    return rollups.cube(summary.filter(F.to_date("crash_date").isin(touched)))
+    def children(warehouse: Warehouse, name: str, bounds: DayBounds) -> DataFrame:
+        if child_margin is None:
+            return warehouse.read(name)
+        return warehouse.read(name, _around(bounds.day, bounds.day, child_margin))
+
+    def people(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
+        stored = warehouse.read("crashes", [bounds.day])
+        incidents = stored.filter(bounds.contains(F.col("crash_date")))
+        found = children(warehouse, "crashes_people", bounds)
+        return rollups.people_summary(incidents, found, narrow=True)
+
+    def vehicles(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
+        summary = warehouse.read("crashes_people_summary", [bounds.day]).drop(SERVICE_DAY)
+        found = children(warehouse, "crashes_vehicles", bounds)
+        return rollups.vehicle_summary(summary, found, narrow=True)
+
+    def cube(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
+        """The UTC days the run touches, whole: they reach into neighbouring local days."""
+        touched = bounds.utc_days()
+        nearby = _around(touched[0], touched[-1], 1)
+        summary = warehouse.read("crashes_people_vehicle_summary", nearby)
+        return rollups.cube(summary.filter(F.to_date("crash_date").isin(touched)))
+
+    return (
+        Stage("crashes_people_summary", people, days=_service_day),
+        Stage("crashes_people_vehicle_summary", vehicles, days=_service_day),
+        Stage("crashes_cube", cube, days=DayBounds.utc_days),
+    )
 
 
-STAGES = (
-    Stage("crashes_people_summary", _people_stage, days=_service_day),
-    Stage("crashes_people_vehicle_summary", _vehicle_stage, days=_service_day),
-    Stage("crashes_cube", _cube_stage, days=DayBounds.utc_days),
-)
+STAGES = daily_stages()
 
 
 def load_sql_stages(path: str) -> list[Stage]:
@@ -243,11 +275,14 @@ def run_day(
     sources: Mapping[str, DataFrame],
     root: str,
     bounds: DayBounds,
+    datasets: Iterable[Dataset] = DATASETS,
+    stages: Iterable[Stage] = STAGES,
 ) -> dict[str, int]:
     """Land, ingest and roll up one day; the landed counts."""
-    counts = land_datasets(sources, root, bounds.day, closed_end=bounds.closed_end)
-    ingest_datasets(warehouse, root, bounds.day, zone=bounds.zone)
-    run_stages(warehouse, bounds)
+    datasets = list(datasets)
+    counts = land_datasets(sources, root, bounds.day, datasets, closed_end=bounds.closed_end)
+    ingest_datasets(warehouse, root, bounds.day, datasets, zone=bounds.zone)
+    run_stages(warehouse, bounds, stages)
     return counts
 
 

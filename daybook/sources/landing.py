@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: rows per landed file unless the caller says otherwise.
-ROWS_PER_FILE = 2000
+# Rows per landed file unless the caller says otherwise. A source's page size
+# (some thousands) would make far too many files of a large day.
+ROWS_PER_FILE = 1_000_000
 
 _PARTS = ("year", "month", "day")
 _PART_PATTERNS = {"year": "yyyy", "month": "MM", "day": "dd"}

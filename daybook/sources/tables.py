@@ -88,9 +88,7 @@ def replace_days(
     _overwrite(gathered, table, "dynamic")
     for day in named:
         if not written.get[day.isoformat()]:
-            spark.sql(
-                f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{spec.day_column}` = DATE'{day}')"
-            )
+            replace_day(spark.createDataFrame([], spec.schema), table, spec, day)
 
 
 def replace_all(rows: DataFrame, table: str, spec: TableSpec) -> None:

@@ -112,6 +112,32 @@ def test_a_day_that_became_empty(spark, tmp_path):
     assert cube.agg(F.max("crash_day")).first()[0] == dt.date(2024, 4, 20)
 
 
+def test_child_margin(daily):
+    """Children carry their incident's time here, so one day around it holds them all."""
+    warehouse, *_ = daily
+    bounds = DayBounds(DAYS[1])
+    for everywhere, nearby in zip(pipeline.STAGES, pipeline.daily_stages(1), strict=True):
+        results = [stage.result(warehouse, bounds) for stage in (everywhere, nearby)]
+        found = [
+            sorted(repr(tuple(r)) for r in rows.drop(rollups.SKETCH).collect()) for rows in results
+        ]
+        assert found[0] == found[1]
+    people = pipeline.daily_stages(1)[0].result(warehouse, bounds)
+    plan = people._jdf.queryExecution().executedPlan().toString()
+    assert "service_day#" in plan and "IN (2024-04-19,2024-04-20,2024-04-21)" in plan
+
+
+def test_declared_raw_columns(spark, tmp_path):
+    dataset = Dataset("crashes_vehicles", raw_columns="crash_unit_id string, make string, axle_cnt string")
+    root = str(tmp_path / "raw")
+    pipeline.land_day(spark.createDataFrame([("1", "FORD")], "crash_unit_id string, make string"),
+                      f"{root}/crashes_vehicles", DAYS[0])
+    warehouse = Warehouse(spark, "declared", str(tmp_path / "wh"))
+    pipeline.ingest_day(warehouse, root, DAYS[0], dataset)
+    row = warehouse.read("crashes_vehicles").first()
+    assert (row["crash_unit_id"], row["make"], row["axle_cnt"]) == (1, "FORD", None)
+
+
 def test_stage_reads_only_its_day(daily):
     warehouse, *_ = daily
     rows = pipeline.STAGES[0].result(warehouse, DayBounds(DAYS[0]))

@@ -101,3 +101,16 @@ def test_existing_folder_is_picked_up(spark, tmp_path):
     replace_day(hours(spark, FIRST), "kept_one", SPEC, FIRST)
     ensure_table(spark, "kept_two", SPEC, place)
     assert counts(spark, "kept_two") == {FIRST: 24}
+
+
+def test_emptied_days_leave_no_files(spark, tmp_path):
+    place = str(tmp_path / "emptied")
+    ensure_table(spark, "emptied_one", SPEC, place)
+    for day in (FIRST, SECOND, THIRD):
+        replace_day(hours(spark, day), "emptied_one", SPEC, day)
+    replace_day(hours(spark, FIRST).limit(0), "emptied_one", SPEC, FIRST)
+    replace_days(dated(hours(spark, THIRD)), "emptied_one", SPEC, [SECOND, THIRD])
+    assert counts(spark, "emptied_one") == {THIRD: 24}
+    ensure_table(spark, "emptied_two", SPEC, place)
+    assert counts(spark, "emptied_two") == {THIRD: 24}
+    assert spark.read.parquet(place).count() == 24

@@ -403,6 +403,26 @@ def incident_cube(t: Tables) -> DataFrame:
     return shown(_counted(cube))
 
 
+_FEW_DIMENSIONS = ["crash_day", "weather_condition", "is_drunk", "hazmat_involved"]
+
+
+@query(
+    f"""
+    SELECT strftime(crash_date, '%Y-%m-%d') AS crash_day, weather_condition, is_drunk,
+           hazmat_involved, sum(num_people_involved)::BIGINT AS total_people_involved,
+           sum(number_injured)::BIGINT AS total_injured, sum(number_fatal)::BIGINT AS total_fatal,
+           sum(damage)::BIGINT AS total_damage, count(DISTINCT crash_record_id) AS crashes
+    FROM ({sql.vehicle_summary(sql.INCIDENTS, sql.PEOPLE, sql.VEHICLES)}) GROUP BY ALL
+    """
+)
+def incident_cube_few_dimensions(t: Tables) -> DataFrame:
+    """Groups of several incidents: the cube over a choice of its dimensions."""
+    cube = rollups.incident_cube(
+        standins.incidents(t), standins.people(t), standins.vehicles(t), _FEW_DIMENSIONS
+    )
+    return shown(_counted(cube))
+
+
 @query("SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
 def sketch_estimate(t: Tables) -> DataFrame:
     sketch = sketches.key_sketch(F.col("user_id"))
