@@ -31,30 +31,12 @@ def bag_of_flag(flag: Column) -> Column:
     return F.concat(entries("false", F.count_if(~flag)), entries("true", F.count_if(flag)))
 
 
-def collected_entries(value: Column, n: Column) -> Column:
-    """Aggregate: counted values of a group, sorted, nulls left out.
-
-    For rows already counted per value; a value may still come several times.
-    """
+def collected_bag(value: Column, n: Column) -> Column:
+    """Aggregate: the bag of rows already counted per value, nulls left out."""
     # when() without otherwise() is null, which collecting leaves out
     return F.sort_array(F.collect_list(F.when(value.isNotNull(), _entry(value, n))))
 
 
-def folded(entries: Column) -> Column:
-    """Collected entries as a bag: one entry per value.
-
-    Most arrays have no value twice and skip the fold.
-    """
-    values = F.array_distinct(entries["value"])
-
-    def total(value: Column) -> Column:
-        same = F.filter(entries, lambda e: e["value"] == value)
-        return F.aggregate(same, F.lit(0).cast("bigint"), lambda acc, e: acc + e["n"])
-
-    fold = F.transform(values, lambda v: _entry(v, total(v)))
-    return F.when(F.size(values) == F.size(entries), entries).otherwise(fold)
-
-
 def repeat_bag(bag: Column, times: Column) -> Column:
     return F.transform(
         bag, lambda e: F.struct(e["value"].alias("value"), (e["n"] * times).alias("n"))

@@ -81,31 +81,59 @@ def participant_aggregate(people: DataFrame, alcohol_column: str = "bac_result")
 def vehicle_aggregate(vehicles: DataFrame) -> DataFrame:
     """One row per incident; uses and makes as bags.
 
-    The first grouping spreads an incident over reducers by use and make, so
-    the second collects distinct combinations and never single vehicles. They
-    move by incident as plain rows: lists would only be built to be merged.
+    The first grouping spreads an incident over reducers by use and make. Only
+    distinct combinations move on to the incident's own reducer, where they are
+    counted per use and per make as rows before the bags are collected.
     """
     combinations = vehicles.groupBy(KEY, "vehicle_use", "make").agg(
         F.count(F.lit(1)).alias("n"),
         F.bool_or("fire_i").alias("fire"),
-        F.sum("occupant_cnt").alias("occupants"),
         F.bool_or(filled(F.col("hazmat_class"))).alias("hazmat"),
+        F.sum("occupant_cnt").alias("occupants"),
+    )
+
+    def entry(kind: str, *measures: Column) -> Column:
+        fields = zip(measures, ("fire", "hazmat", "occupants"), strict=True)
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            F.col(kind).alias("value"),
+            F.col("n"),
+            *[measure.alias(name) for measure, name in fields],
+        )
+
+    nothing = F.lit(None)
+    entries = F.array(
+        entry("vehicle_use", F.col("fire"), F.col("hazmat"), F.col("occupants")),
+        entry("make", nothing.cast("boolean"), nothing.cast("boolean"), nothing.cast("bigint")),
     )
-    collected = combinations.repartition(KEY).groupBy(KEY).agg(
-        bags.collected_entries(F.col("vehicle_use"), F.col("n")).alias("vehicle_uses"),
-        bags.collected_entries(F.col("make"), F.col("n")).alias("vehicle_makes"),
+    # Partitioned by incident once, both groupings below need no exchange.
+    per_value = (
+        combinations.repartition(KEY)
+        .select(KEY, F.inline(entries))
+        .groupBy(KEY, "kind", "value")
+        .agg(
+            F.sum("n").alias("n"),
+            F.bool_or("fire").alias("fire"),
+            F.bool_or("hazmat").alias("hazmat"),
+            F.sum("occupants").alias("occupants"),
+        )
+    )
+
+    def bag(kind: str) -> Column:
+        return bags.collected_bag(F.when(F.col("kind") == kind, F.col("value")), F.col("n"))
+
+    return per_value.groupBy(KEY).agg(
+        bag("vehicle_use").alias("vehicle_uses"),
+        bag("make").alias("vehicle_makes"),
         F.bool_or("fire").alias("fire_happened"),
         F.bool_or("hazmat").alias("hazmat_involved"),
         F.sum("occupants").alias("num_people_involved"),
     )
-    return collected.withColumns(
-        {name: bags.folded(F.col(name)) for name in ("vehicle_uses", "vehicle_makes")}
-    )
 
 
 def sorted_bag(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """Per group, the sorted list of a column with duplicates kept."""
     counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    bag = bags.collected_entries(F.col(value), F.col("n"))
+    bag = bags.collected_bag(F.col(value), F.col("n"))
     grouped = counted.repartition(*keys).groupBy(*keys).agg(bag.alias("bag"))
     return grouped.select(*keys, bags.as_list(F.col("bag")).alias(name))

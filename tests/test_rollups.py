@@ -253,16 +253,33 @@ def test_hot_bag_is_collected_as_counts(spark):
     assert Counter(listed) == {"BUS": 133334, "TAXI": 133333} and listed == sorted(listed)
 
 
-def test_bag_of_repeated_values(spark):
-    rows = spark.sql(
-        "SELECT array(struct('a' AS value, 2L AS n), struct('a' AS value, 3L AS n),"
-        " struct('b' AS value, 1L AS n)) AS e"
-    )
-    bag = rows.select(bags.folded(F.col("e")).alias("b"))
-    assert bag.first()["b"] == [("a", 5), ("b", 1)]
-    assert bag.select(bags.as_list(F.col("b")).alias("l")).first()["l"] == ["a"] * 5 + ["b"]
+def test_bags(spark):
+    rows = spark.createDataFrame([("a", 2), ("b", 3), (None, 4)], "value string, n bigint")
+    bag = rows.agg(bags.collected_bag(F.col("value"), F.col("n")).alias("b"))
+    assert bag.first()["b"] == [("a", 2), ("b", 3)]
+    assert bag.select(bags.as_list(F.col("b")).alias("l")).first()["l"] == ["a"] * 2 + ["b"] * 3
     twice = bag.select(bags.repeat_bag(F.col("b"), F.lit(2)).alias("b"))
-    assert twice.first()["b"] == [("a", 10), ("b", 2)]
+    assert twice.first()["b"] == [("a", 4), ("b", 6)]
+    flags = spark.createDataFrame([(True,), (True,), (False,), (None,)], "f boolean")
+    assert flags.agg(bags.bag_of_flag(F.col("f")).alias("b")).first()["b"] == [("false", 1), ("true", 2)]
+    none = flags.filter("f IS NULL").agg(bags.bag_of_flag(F.col("f")).alias("b"))
+    assert none.select("b", bags.as_list(F.col("b")).alias("l")).first() == ([], [])
+
+
+def test_hot_incident_with_many_makes(spark):
+    """Counting per make stays linear when one incident has 200,000 of them."""
+    hot = spark.range(400_000).select(
+        F.lit("hot").alias("crash_record_id"),
+        F.concat(F.lit("U"), (F.col("id") % 3).cast("string")).alias("vehicle_use"),
+        F.concat(F.lit("M"), (F.col("id") % 200_000).cast("string")).alias("make"),
+        F.lit(True).alias("fire_i"), F.lit(1).cast("bigint").alias("occupant_cnt"),
+        F.lit("3").alias("hazmat_class"),
+    )
+    got = vehicle_aggregate(hot).select(
+        F.size("vehicle_makes").alias("makes"), F.array_min(F.col("vehicle_makes")["n"]).alias("n"),
+        F.size("vehicle_uses").alias("uses"), "num_people_involved", "hazmat_involved",
+    ).first()
+    assert tuple(got) == (200_000, 2, 3, 400_000, True)
 
 
 def test_sketches(spark):
