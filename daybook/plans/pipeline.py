@@ -288,12 +288,15 @@ def run_day(
 
 def rebuild(warehouse: Warehouse, zone: str = DEFAULT_ZONE) -> None:
     """Recompute every rollup table from the base tables, all days at once."""
-    names = [stage.name for stage in STAGES]
-    people, vehicles, rolled = ((warehouse.ensure(n), warehouse.table(n)) for n in names)
+
+    def store(rows: DataFrame, name: str) -> None:
+        spec = warehouse.ensure(name)
+        replace_all(_with_day(rows, spec, zone), warehouse.table(name), spec)
+
     dated = warehouse.read("crashes").filter(F.col("crash_date").isNotNull())
-    summary = rollups.people_summary(dated, warehouse.read("crashes_people"))
-    replace_all(_with_day(summary, people[0], zone), people[1], people[0])
-    summary = warehouse.read(names[0]).drop(SERVICE_DAY)
-    enriched = rollups.vehicle_summary(summary, warehouse.read("crashes_vehicles"))
-    replace_all(_with_day(enriched, vehicles[0], zone), vehicles[1], vehicles[0])
-    replace_all(rollups.cube(warehouse.read(names[1])), rolled[1], rolled[0])
+    people = warehouse.read("crashes_people")
+    store(rollups.people_summary(dated, people), "crashes_people_summary")
+    summary = warehouse.read("crashes_people_summary").drop(SERVICE_DAY)
+    vehicles = warehouse.read("crashes_vehicles")
+    store(rollups.vehicle_summary(summary, vehicles), "crashes_people_vehicle_summary")
+    store(rollups.cube(warehouse.read("crashes_people_vehicle_summary")), "crashes_cube")

@@ -232,10 +232,10 @@ def morning_flag(t: Tables) -> DataFrame:
     SELECT strftime(o_orderdate, '%Y-%m-%d') AS day,
            {sql.stamp(sql.utc("o_orderdate"))} AS starts,
            {sql.stamp(sql.utc("o_orderdate + INTERVAL 1 DAY"))} AS ends,
-           {sql.stamp(sql.utc("o_orderdate + INTERVAL '23:59:59' HOUR TO SECOND"))} AS closed_end,
+           {sql.stamp(sql.utc("o_orderdate + INTERVAL 86399 SECOND"))} AS closed_end,
            count(*) AS incidents
     FROM orders GROUP BY ALL
-    """.replace("INTERVAL '23:59:59' HOUR TO SECOND", "INTERVAL 86399 SECOND")
+    """
 )
 def local_day_bounds(t: Tables) -> DataFrame:
     counted = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(
@@ -292,7 +292,12 @@ def parameter_table_filter(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT * EXCLUDE (o_orderdate), strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders WHERE o_orderkey = 7")
+@query(
+    """
+    SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate)
+    FROM orders WHERE o_orderkey = 7
+    """
+)
 def point_lookup(t: Tables) -> DataFrame:
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     return t.orders.filter(F.col("o_orderkey") == 7).withColumn("o_orderdate", day)
@@ -486,7 +491,8 @@ def day_replace_roundtrip(t: Tables) -> DataFrame:
 
 
 _RAW_INCIDENTS = f"""
-    SELECT event_id::VARCHAR AS crash_record_id, {sql.utc("date_trunc('milliseconds', ts)")} AS crash_date,
+    SELECT event_id::VARCHAR AS crash_record_id,
+           {sql.utc("date_trunc('milliseconds', ts)")} AS crash_date,
            hour({sql.utc("ts")}) < 12 AS is_am, estimate AS damage,
            (user_id % 4)::INTEGER AS number_injured, (user_id % 2)::INTEGER AS number_fatal,
            event_type AS weather_condition, NULL::VARCHAR AS lighting_condition,
