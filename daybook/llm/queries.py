@@ -5,14 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daybook.llm import quality_rules
+from daybook.llm import quality_rules, simhash
+from daybook.llm.common import written
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op2_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _read(spark, folder, "documents").select("doc_id", "text")
+    prints = written(simhash.with_fingerprints(rows), "fingerprints")
+    found = simhash.classes(prints)
+    shown = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", shown, "component_id")
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = _read(spark, folder, "documents").select("doc_id", "text")
     judged = quality_rules.judge(rows)
@@ -20,4 +30,4 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_quality_rules,)}
+    return {f.__name__: f for f in (op2_simhash_dedup, op6_quality_rules)}
