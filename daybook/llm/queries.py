@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import quality_rules, simhash
+from daybook.llm import byte_bpe, mixing, quality_rules, simhash, token_files, warc
 from daybook.llm.common import written
+from daybook.session import shared_folder
+
+# Shares of the mix; the sources not named share the rest by size.
+TARGET_WEIGHTS = {"src0": 0.25, "src1": 0.08, "src2": 0.08, "src3": 0.04}
+EPOCHS = 1.0
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+WORD_FILE = "word_bpe_49k.json"
+END_OF_DOCUMENT = 2
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -23,11 +32,65 @@ def op2_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", shown, "component_id")
 
 
+def op3_poisson_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_read(spark, folder, "documents"), TARGET_WEIGHTS, EPOCHS)
+
+
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write(_read(spark, folder, "pages"), shared_folder(spark, "warc"))
+    found = warc.read(archives, payload=False)
+    return found.select(
+        F.col("record_id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = _read(spark, folder, "documents").select("doc_id", "text")
     judged = quality_rules.judge(rows)
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "failed_rules", "kept")
 
 
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _read(spark, folder, "documents").select("doc_id", "text")
+    ranks = byte_bpe.read_ranks(public_tokenizers.path(RANK_FILE))
+    encoded = byte_bpe.encode(rows, ranks, public_tokenizers.PATTERN)
+    back = byte_bpe.decode(
+        encoded.withColumn("n_tokens", F.size("ids").cast("bigint")), ranks, packed="packed"
+    )
+    return back.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _read(spark, folder, "documents").select("doc_id", "text")
+    with open(public_tokenizers.path(WORD_FILE), encoding="utf-8") as file:
+        model = file.read()
+    path = shared_folder(spark, "token-files")
+    token_files.write(token_files.encoded(rows, model, END_OF_DOCUMENT), path)
+    bases = token_files.starts(spark, path)
+    sums = token_files.with_checksums(token_files.read(spark, path))
+    return sums.join(bases, "shard").select(
+        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
+    )
+
+
+QUERIES = (
+    op2_simhash_dedup,
+    op3_poisson_mixing,
+    op5_warc,
+    op6_quality_rules,
+    op8_byte_bpe,
+    op10_token_files,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash_dedup, op6_quality_rules)}
+    return {f.__name__: f for f in QUERIES}
