@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -45,3 +47,22 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="daybook-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    They then need neither an installed copy nor the driver's working folder.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="daybook-"), "daybook")
+    context.addPyFile(
+        shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+    )
+    _shipped.add(context.applicationId)
