@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import byte_bpe, mixing, quality_rules, simhash, token_files, warc
+from daybook.llm import byte_bpe, fingerprints, mixing, quality_rules, simhash, token_files, warc
 from daybook.llm.common import written
-from daybook.session import shared_folder
+from daybook.session import shared_folder, ship_package
 
 # Shares of the mix; the sources not named share the rest by size.
 TARGET_WEIGHTS = {"src0": 0.25, "src1": 0.08, "src2": 0.08, "src3": 0.04}
@@ -21,9 +21,14 @@ END_OF_DOCUMENT = 2
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared_with_next(_read(spark, folder, "documents"))
+
+
 def op2_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = _read(spark, folder, "documents").select("doc_id", "text")
     prints = written(simhash.with_fingerprints(rows), "fingerprints")
@@ -83,6 +88,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = (
+    op1_fingerprints,
     op2_simhash_dedup,
     op3_poisson_mixing,
     op5_warc,
