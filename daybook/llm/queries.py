@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import byte_bpe, fingerprints, mixing, quality_rules, simhash, token_files, warc
+from daybook.llm import byte_bpe, fingerprints, mixing, quality_rules, simhash, token_files, url_filter, warc
 from daybook.llm.common import written
 from daybook.session import shared_folder, ship_package
 
@@ -41,6 +41,11 @@ def op3_poisson_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_read(spark, folder, "documents"), TARGET_WEIGHTS, EPOCHS)
 
 
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_filter.judge(_read(spark, folder, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "score", "verdict")
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = warc.write(_read(spark, folder, "pages"), shared_folder(spark, "warc"))
     found = warc.read(archives, payload=False)
@@ -91,6 +96,7 @@ QUERIES = (
     op1_fingerprints,
     op2_simhash_dedup,
     op3_poisson_mixing,
+    op4_url_filter,
     op5_warc,
     op6_quality_rules,
     op8_byte_bpe,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import quality_rules
+from daybook.llm import quality_rules, url_filter
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -58,5 +58,91 @@ SELECT *, NOT base_failed AND failed_rules = '' AS kept FROM judged
 """
 
 
+def urls() -> str:
+    order, bins, largest = url_filter.ORDER, url_filter.BINS, url_filter.LARGEST
+    rules = sorted(url_filter.RULES, key=lambda r: (-len(r), r))
+
+    def fits(rule: str) -> str:
+        host, _, start = rule.partition("/")
+        return f"(host = '{host}' OR suffix(host, '.{host}')) AND starts_with(path, '/{start}')"
+
+    rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r}'" for r in rules) + " END"
+    allowed = ", ".join(f"'{r}'" for r, v in url_filter.RULES.items() if v == "allow")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    pads = " || ".join(["chr(2)"] * order)
+
+    def mixed(before: str, count: str, total: str, kinds: str) -> str:
+        return (
+            f"CASE WHEN coalesce({total}, 0) > 0 THEN"
+            f" (coalesce({count}, 0) + {kinds} * {before}) / ({total} + {kinds})::DOUBLE"
+            f" ELSE {before} END"
+        )
+
+    level = "\n".join(
+        f""", p{k} AS (
+  SELECT u.gram, {mixed("u.pa", "s.a", "c.na", "c.ta")} AS pa, {mixed("u.pr", "s.r", "c.nr", "c.tr")} AS pr
+  FROM {"uniform" if not k else f"p{k - 1}"} u
+  LEFT JOIN suffixes s ON s.s = right(u.gram, {k + 1})
+  LEFT JOIN contexts c ON c.context = left(right(u.gram, {k + 1}), {k})
+)"""
+        for k in range(order + 1)
+    )
+    return rf"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS x FROM pages
+), cut AS (
+  SELECT page_id, regexp_extract(x, '^[^/?#]*') AS h, x FROM rest
+), parts AS (
+  SELECT page_id, translate(h, '{upper}', '{upper.lower()}') AS host,
+    regexp_extract(substr(x, length(h) + 1), '^[^?#]*') AS path FROM cut
+), ruled AS (SELECT *, {rule} AS rule FROM parts
+), texts AS (
+  SELECT host, path, host || path AS t, rule IN ({allowed}) AS accepted, count(*) AS n,
+    md5(host || path)[1] IN ('0', '1', '2', '3') AS held_out
+  FROM ruled GROUP BY ALL
+), chars AS (
+  SELECT *, regexp_extract_all({pads} || t || chr(3), '(?s).') AS cs FROM texts
+), grams AS (
+  SELECT host, path, n, accepted, held_out,
+    unnest(list_transform(range(1, len(cs) - {order - 1}), lambda i: array_to_string(cs[i:i + {order}], ''))) AS gram
+  FROM chars
+), counts AS (
+  SELECT gram, coalesce(sum(n) FILTER (accepted), 0) AS a,
+    coalesce(sum(n) FILTER (NOT accepted), 0) AS r
+  FROM grams WHERE accepted IS NOT NULL AND NOT held_out GROUP BY gram
+), suffixes AS (
+  SELECT right(gram, k + 1) AS s, left(right(gram, k + 1), k) AS context, sum(a) AS a, sum(r) AS r
+  FROM counts, (SELECT unnest(range(0, {order + 1}))::INT AS k) GROUP BY ALL
+), contexts AS (
+  SELECT context, sum(a) AS na, sum(r) AS nr, count(*) FILTER (a > 0) AS ta,
+    count(*) FILTER (r > 0) AS tr FROM suffixes GROUP BY context
+), uniform AS (
+  SELECT DISTINCT gram, 1.0::DOUBLE / {url_filter.ALPHABET} AS pa, 1.0::DOUBLE / {url_filter.ALPHABET} AS pr FROM grams
+){level}, ratios AS (
+  SELECT gram, CAST(ln(pa) - ln(pr) AS DECIMAL(18,9)) AS ratio FROM p{order}
+), scored AS (
+  SELECT host, path, n, accepted, held_out, sum(ratio)::DOUBLE / (length(host || path) + 1) AS score
+  FROM grams JOIN ratios USING (gram) GROUP BY host, path, n, accepted, held_out
+), binned AS (
+  SELECT *, greatest(-{largest}, least({largest}, floor(score * {bins})::INT)) AS bin FROM scored
+), cuts AS (
+  SELECT c, sum(n) FILTER (accepted AND bin < c) AS lost, sum(n) FILTER (NOT accepted AND bin >= c) AS passed,
+    sum(n) FILTER (accepted) AS acc, sum(n) FILTER (NOT accepted) AS rej
+  FROM binned, (SELECT unnest(range(-{largest}, {largest + 2}))::INT AS c)
+  WHERE held_out AND accepted IS NOT NULL GROUP BY c
+), best AS (
+  SELECT coalesce((
+    SELECT c FROM cuts WHERE acc > 0 AND rej > 0
+    ORDER BY coalesce(lost, 0) * rej + coalesce(passed, 0) * acc, abs(c), c LIMIT 1
+  ), 0) AS c
+)
+SELECT page_id, host, path, rule, round(score, 6) AS score,
+  CASE WHEN rule IN ({allowed}) THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN bin >= (SELECT c FROM best) THEN 'allow' ELSE 'block' END AS verdict
+FROM ruled JOIN binned USING (host, path)
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op6_quality_rules": quality()}
+    return {"op4_url_filter": urls(), "op6_quality_rules": quality()}
