@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import byte_bpe, fingerprints, mixing, quality_rules, simhash, token_files, url_filter, warc
+from daybook.llm import (
+    byte_bpe,
+    fingerprints,
+    mixing,
+    quality_rules,
+    repeated_spans,
+    simhash,
+    token_files,
+    url_filter,
+    warc,
+)
 from daybook.llm.common import written
 from daybook.session import shared_folder, ship_package
 
@@ -64,6 +74,19 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "failed_rules", "kept")
 
 
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _read(spark, folder, "documents").select("doc_id", "text")
+    found = repeated_spans.without_repeats(rows)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        (F.octet_length("kept") + removed).cast("bigint").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     rows = _read(spark, folder, "documents").select("doc_id", "text")
     ranks = byte_bpe.read_ranks(public_tokenizers.path(RANK_FILE))
@@ -99,6 +122,7 @@ QUERIES = (
     op4_url_filter,
     op5_warc,
     op6_quality_rules,
+    op7_suffix_array_dedup,
     op8_byte_bpe,
     op10_token_files,
 )
