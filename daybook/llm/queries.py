@@ -15,6 +15,7 @@ from daybook.llm import (
     quality_rules,
     repeated_spans,
     simhash,
+    suffix_tree_lm,
     token_files,
     url_filter,
     warc,
@@ -102,6 +103,13 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_suffix_tree_lm(spark: SparkSession, folder: str) -> DataFrame:
+    scored = suffix_tree_lm.score(_read(spark, folder, "documents").select("doc_id", "text"))
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     rows = _read(spark, folder, "documents").select("doc_id", "text")
     with open(public_tokenizers.path(WORD_FILE), encoding="utf-8") as file:
@@ -124,6 +132,7 @@ QUERIES = (
     op6_quality_rules,
     op7_suffix_array_dedup,
     op8_byte_bpe,
+    op9_suffix_tree_lm,
     op10_token_files,
 )
 
