@@ -146,12 +146,17 @@ def encode(
 
 
 def decode(
-    rows: DataFrame, file: bytes, ids: str = "ids", decoded: str = "decoded", packed: str = ""
+    rows: DataFrame,
+    file: bytes,
+    ids: str = "ids",
+    decoded: str = "decoded",
+    packed: str = "",
+    keep_ids: bool = False,
 ) -> DataFrame:
     """``rows`` with the bytes of their ids, and if named the ids packed as
-    little-endian unsigned 32-bit numbers, in place of the list."""
+    little-endian unsigned 32-bit numbers, in place of the list or beside it."""
     added = [decoded, *([packed] if packed else [])]
-    rest = [c for c in rows.columns if c != ids and c not in added]
+    rest = [c for c in rows.columns if (keep_ids or c != ids) and c not in added]
     schema = T.StructType([rows.schema[c] for c in rest])
     for name in added:
         schema = schema.add(name, T.BinaryType())
@@ -171,4 +176,5 @@ def decode(
             columns += [pa.array(numbers, pa.binary())] if packed else []
             yield pa.RecordBatch.from_arrays(columns, names=[*rest, *added])
 
-    return rows.select(*(f"`{c}`" for c in [*rest, ids])).mapInArrow(run, schema)
+    asked = rest if keep_ids else [*rest, ids]
+    return rows.select(*(f"`{c}`" for c in asked)).mapInArrow(run, schema)

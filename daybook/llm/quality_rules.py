@@ -186,9 +186,15 @@ def judge(rows: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 
 
 def kept_rows(rows: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows the rules keep, with their own columns only."""
+    """The rows the rules keep, with their own columns only.
+
+    A filter on the verdict would be moved below the steps that measure it, which
+    puts each step's arrays into the lambdas of the next. The row number, which
+    the optimizer may not evaluate elsewhere, holds it in place.
+    """
     packed = rows.select(
         F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("__row"),
         F.col(f"`{text}`").alias("__text"),
     )
-    return judge(packed, "__text", rules).filter("kept").select("__row.*")
+    held = F.col("kept") & (F.monotonically_increasing_id() >= 0)
+    return judge(packed, "__text", rules).withColumn("__held", held).filter("__held").select("__row.*")

@@ -325,10 +325,15 @@ def removed_spans(ranges: list[dict] | None, length: int) -> list[tuple[int, int
 
 
 def without_repeats(
-    rows: DataFrame, text: str = "text", length: int = LENGTH, shard_bytes: int = SHARD_BYTES
+    rows: DataFrame,
+    text: str = "text",
+    length: int = LENGTH,
+    shard_bytes: int = SHARD_BYTES,
+    as_text: bool = False,
 ) -> DataFrame:
     """``rows`` with ``kept`` (binary) and ``spans`` (removed bytes, end excluded)
-    in place of the text."""
+    in place of the text. ``as_text`` makes ``kept`` a string, without the bytes
+    of code points that a span has cut."""
     value = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     rest = [c for c in rows.columns if c not in (text, "kept", "spans")]
     # Rows with the same text have the same result, whatever their other columns;
@@ -343,7 +348,8 @@ def without_repeats(
     ranges = repeated_ranges(keyed.select("k1", "k2", "data"), length, 0, shard_bytes)
     joined = keyed.join(ranges, ["k1", "k2"], "left").select("rest", "data", "ranges")
     spans_type = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([joined.schema["rest"]]).add("kept", T.BinaryType()).add("spans", spans_type)
+    kept_type = T.StringType() if as_text else T.BinaryType()
+    schema = T.StructType([joined.schema["rest"]]).add("kept", kept_type).add("spans", spans_type)
     arrow_spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,8 +361,12 @@ def without_repeats(
                 edges = [0, *itertools.chain(*gone), len(data)]
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                 spans.append([{"start": a, "end": b} for a, b in gone])
+            if as_text:
+                held = pa.array([k.decode(errors="ignore") for k in kept], pa.string())
+            else:
+                held = pa.array(kept, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [column(part, "rest"), pa.array(kept, pa.binary()), pa.array(spans, arrow_spans)],
+                [column(part, "rest"), held, pa.array(spans, arrow_spans)],
                 names=["rest", "kept", "spans"],
             )
 
