@@ -51,12 +51,18 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 
 _shipped: set[str] = set()
 
+#: Rows go to Python workers in batches of this many bytes; a batch is held on
+#: both sides of each step, and long texts make large ones.
+ARROW_BATCH_BYTES = 8 << 20
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application.
 
-    They then need neither an installed copy nor the driver's working folder.
+def prepare_workers(spark: SparkSession) -> None:
+    """Bound the batches for Python workers and send them this package.
+
+    The package is sent once per application; workers then need neither an
+    installed copy nor the driver's working folder.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
