@@ -9,21 +9,24 @@ of the numbers only, skip the rest.
 Rows are ranged and sorted by id before they are encoded, and Spark's writer
 commits them, so a repeated task leaves no second copy. Null ids come first;
 equal ids are ordered by their text. A null text is the empty text: only the
-end id is written. The tokenizer meets each distinct word once per worker, as
-far as a fixed number; words are split at spaces and line ends, which the
-vocabulary drops, so the ids are those of the whole text.
+end id is written. Texts are split where the vocabulary's own pattern always
+splits, at spaces, line ends and between a letter and common punctuation, and
+A-Z are lower-cased as it does, so the ids are those of the whole text; the
+tokenizer gets the different words of a slice of texts, and workers remember a
+fixed number of them.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,17 +34,15 @@ from pyspark.sql import types as T
 
 from daybook.llm.common import column, slices
 
-REMEMBERED = 1 << 19
+REMEMBERED, _CELLS = 1 << 18, 1 << 22
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 2000
 FILE_COLUMNS = "doc_id bigint, shard int, at bigint, n_tokens bigint, ids array<int>"
 
-_words = re.compile("[^ \n]+").findall
-
 
 class Words(dict):
-    """Word -> its ids as little-endian 32-bit numbers."""
+    """Word -> its ids."""
 
     def __init__(self, model: str):
         super().__init__()
@@ -50,22 +51,38 @@ class Words(dict):
 
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = True
-        self.passing: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        return self.passing[word]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """New words are encoded in one call; those beyond the limit are forgotten."""
-        split = [_words(t) for t in texts]
-        new = list(set().union(*split).difference(self))
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        packed = {w: np.array(e.ids, dtype="<i4").tobytes() for w, e in zip(new, found, strict=True)}
-        if len(self) + len(packed) <= REMEMBERED:
-            self.update(packed)
-        else:
-            self.passing = packed
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        self.met = bytearray(_CELLS)
+
+    def ids(self, words: list[str]) -> list[array]:
+        """The ids of different words; those not remembered are encoded in one
+        call. A word is remembered when it comes a second time, so that words
+        that come once take no place."""
+        known = list(map(self.get, words))
+        places = [i for i, found in enumerate(known) if found is None]
+        new = [words[i] for i in places]
+        encodings = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        for i, word, encoding in zip(places, new, encodings, strict=True):
+            known[i] = coded = array("i", encoding.ids)
+            cell = hash(word) % _CELLS
+            if self.met[cell] and len(self) < REMEMBERED:
+                self[word] = coded
+            self.met[cell] = 1
+        return known
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and where each text's ids end."""
+        lowered = pa.compute.ascii_lower(pa.compute.replace_substring(texts, "\n", " "))
+        parted = pa.compute.replace_substring_regex(lowered, "([a-z])([.,;:!?|])", r"\1 \2")
+        split = pa.compute.split_pattern(parted, " ")
+        words = split.flatten().dictionary_encode()
+        known = self.ids(words.dictionary.to_pylist())
+        values = np.frombuffer(b"".join(known), dtype=np.int32)
+        ends = np.cumsum([0, *map(len, known)])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+        coded = lists.take(words.indices)
+        sizes = np.append(0, np.cumsum(coded.value_lengths().to_numpy()))
+        counts = pa.compute.list_value_length(split).to_numpy()
+        return coded.flatten().to_numpy(), sizes[np.cumsum(counts)]
 
 
 @cache
@@ -77,7 +94,6 @@ def encoded(
     rows: DataFrame, model: str, end: int, ident: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The rows of the file format, ranged and sorted by id."""
-    end_bytes = np.array([end], dtype="<i4").tobytes()
     placed = rows.select(
         F.col(f"`{ident}`").cast("bigint").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
@@ -87,11 +103,10 @@ def encoded(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shard, at = _vocabulary(model), TaskContext.get().partitionId(), 0
         for part in slices(batches, "text"):
-            packed = [p + end_bytes for p in words.encode(column(part, "text").to_pylist())]
-            ends = np.cumsum([0, *map(len, packed)]) // 4
-            lists = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), dtype="<i4"))
-            )
+            ids, last = words.encode(column(part, "text"))
+            ends = np.append(0, last + np.arange(1, len(last) + 1))
+            ids = np.insert(ids, last, end)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
             columns = [
                 column(part, "doc_id"),
                 pa.array(np.full(part.num_rows, shard), pa.int32()),
