@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm import byte_bpe, mixing, quality_rules, queries, repeated_spans, simhash
 from daybook.llm.common import written
-from daybook.session import ship_package
+from daybook.session import prepare_workers
 
 #: The suffix arrays, the Poisson draws by text and the merges are beyond SQL.
 ORACLE_SQL = None
@@ -27,12 +27,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     return simhash.one_of_each(docs)
 
 
 def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     kept = repeated_spans.without_repeats(docs, as_text=True)
     changed = kept.withColumns({"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")})
     return changed.select(*(f"`{c}`" for c in docs.columns))
@@ -44,7 +44,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     ranks = byte_bpe.read_ranks(public_tokenizers.path(queries.RANK_FILE))
     encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
     counted = encoded.withColumn("n_tokens", F.size("ids").cast("bigint"))

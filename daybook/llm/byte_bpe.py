@@ -7,8 +7,8 @@ each live pair as one number ``rank * leaves + position``, so its root is the
 next merge, and a merge is three point updates up the tree: n log n for a piece
 of n bytes, however long.
 
-Workers remember the pieces they have met, up to a fixed number; what is
-beyond it is merged again. Null text encodes as the empty text, a null list of
+Workers remember the pieces that they meet a second time, up to a fixed number;
+what is beyond it is merged again. Null text encodes as the empty text, a null list of
 ids decodes to no bytes. Equal texts get equal ids. Other columns pass through;
 one named like a result is replaced.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from daybook.llm.common import column, slices
 
-REMEMBERED = 1 << 19
+REMEMBERED, _CELLS = 1 << 18, 1 << 22
 REMEMBERED_LENGTH = 32
 
 
@@ -91,14 +91,17 @@ class Pieces(dict):
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks, self.longest = ranks, max(map(len, ranks), default=1)
+        self.met = bytearray(_CELLS)
 
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode()
         known = self.ranks.get(raw)
         ids = [known] if known is not None else merged(raw, self.ranks, self.longest)
         packed = np.array(ids, dtype="<u4").tobytes()
-        if len(self) < REMEMBERED and len(piece) <= REMEMBERED_LENGTH:
+        cell = hash(piece) % _CELLS
+        if self.met[cell] and len(self) < REMEMBERED and len(piece) <= REMEMBERED_LENGTH:
             self[piece] = packed
+        self.met[cell] = 1
         return packed
 
 

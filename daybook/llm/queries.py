@@ -21,7 +21,7 @@ from daybook.llm import (
     warc,
 )
 from daybook.llm.common import written
-from daybook.session import shared_folder, ship_package
+from daybook.session import shared_folder, prepare_workers
 
 # Shares of the mix; the sources not named share the rest by size.
 TARGET_WEIGHTS = {"src0": 0.25, "src1": 0.08, "src2": 0.08, "src3": 0.04}
@@ -32,7 +32,7 @@ END_OF_DOCUMENT = 2
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
