@@ -132,7 +132,7 @@ def with_next(
     )
     probabilities = [i / ranges for i in range(1, ranges)]
     edges = base.select("ident").approxQuantile("ident", probabilities, 1 / (4 * ranges))
-    splits = [float("-inf"), *sorted(set(edges)), float("inf")]
+    splits = [float("-inf"), *sorted(set(edges) or {0.0}), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="at", outputCol="found", handleInvalid="keep")
     # Descending: the highest ids are range 0; null ids are the last range.
     last = len(splits) - 1
