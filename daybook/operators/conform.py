@@ -68,16 +68,25 @@ def cast_columns(rows: DataFrame, schema: Schema, zone: str = DEFAULT_ZONE) -> D
 
 
 def align(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the schema's columns in its order and types; absent ones null."""
+    """Exactly the schema's columns in its order and types; absent ones null.
+
+    A number that does not fit its column is an error under any session setting.
+    """
     source = _source_types(rows)
-    return rows.select(
-        *[
-            (F.col(f.name) if f.name.lower() in source else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        ]
-    )
+
+    def fitted(field: T.StructField) -> Column:
+        if field.name.lower() not in source:
+            return F.lit(None).cast(field.dataType)
+        value, own = F.col(field.name), source[field.name.lower()]
+        if own == field.dataType:
+            return value
+        if not isinstance(own, T.NumericType) or not isinstance(field.dataType, T.NumericType):
+            return value.cast(field.dataType)
+        cast = value.try_cast(field.dataType)
+        lost = F.raise_error(F.lit(f"{field.name}: a value does not fit {field.dataType.simpleString()}"))
+        return F.when(value.isNotNull() & cast.isNull(), lost.cast(field.dataType)).otherwise(cast)
+
+    return rows.select(*[fitted(f).alias(f.name) for f in schema.fields])
 
 
 def conform(rows: DataFrame, schema: T.StructType, zone: str = DEFAULT_ZONE) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions.text import airbag_state, amount_estimate, amount_unreadable, yes_no
 from daybook.functions.times import DEFAULT_ZONE, is_morning
@@ -25,6 +26,10 @@ def incident_transform(
     The flag goes by the stored UTC hour unless ``morning_zone`` is given.
     """
     typed = cast_columns(rows, schema, zone)
+    absent = {"damage": "string", "crash_date": "timestamp"}
+    typed = typed.withColumns(
+        {c: F.lit(None).cast(t) for c, t in absent.items() if c not in typed.columns}
+    )
     return typed.withColumns(
         {
             "damage_estimate": amount_estimate(F.col("damage")),
@@ -75,6 +80,36 @@ def transform(
     return TRANSFORMS[name](rows, schema, zone)
 
 
+#: Prefix of the raw values that stand beside the typed ones while rejects are counted.
+_RAW = "__raw_"
+
+
+def counted_transform(
+    name: str | None, rows: DataFrame, schema: Schema, seen: Observation, zone: str = DEFAULT_ZONE
+) -> DataFrame:
+    """The named transform, with ``rows`` and a count of unreadable values per
+    column observed as the rows go by. Every value is cast once."""
+    present = {c.lower(): c for c in rows.columns}
+    fields = target_types(schema) if name is not None else {}
+    flags = PARTICIPANT_FLAGS if name == "crashes_people" else {}
+    texts = [
+        c for c in fields
+        if c in present and c not in flags and isinstance(rows.schema[present[c]].dataType, T.StringType)
+    ]
+    amount = name == "crashes" and "damage" in present
+    beside = rows.withColumns({f"{_RAW}{c}": F.col(present[c]) for c in texts})
+    typed = transform(name, beside, schema, zone)
+    counts = {
+        c: F.count_if(F.col(f"{_RAW}{c}").isNotNull() & F.col(c).isNull()) for c in texts
+    }
+    if amount:
+        counts["damage_estimate"] = F.count_if(amount_unreadable(F.col("damage")))
+    watched = typed.observe(
+        seen, F.count(F.lit(1)).alias("rows"), *[n.alias(f"rejected.{c}") for c, n in counts.items()]
+    )
+    return watched.drop(*(f"{_RAW}{c}" for c in texts))
+
+
 def rejects(
     name: str | None, rows: DataFrame, schema: Schema, zone: str = DEFAULT_ZONE
 ) -> dict[str, Column]:

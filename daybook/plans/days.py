@@ -51,6 +51,11 @@ class DayBounds:
             return self._instant(self.day, dt.time(23, 59, 59))
         return self._instant(self.day + dt.timedelta(days=1), dt.time.min)
 
+    @property
+    def last(self) -> dt.datetime:
+        """The last instant of the day, itself included."""
+        return self.end if self.closed_end else self.end - dt.timedelta(microseconds=1)
+
     def contains(self, instant: Column) -> Column:
         """Literal bounds, so the scan can prune on them."""
         end = F.lit(self.end)
@@ -59,18 +64,23 @@ class DayBounds:
 
     def utc_days(self) -> list[dt.date]:
         """Every UTC calendar day the local day has a part in."""
-        last = self.end if self.closed_end else self.end - dt.timedelta(microseconds=1)
         first = self.start.date()
-        return [first + dt.timedelta(days=n) for n in range((last.date() - first).days + 1)]
+        return [first + dt.timedelta(days=n) for n in range((self.last.date() - first).days + 1)]
 
     def sql_args(self) -> dict[str, object]:
-        return {"start_time": self.start, "end_time": self.end, "service_day": self.day}
+        """``end_time`` is the last instant (``<=``), ``end_before`` the first after (``<``)."""
+        return {
+            "start_time": self.start,
+            "end_time": self.last,
+            "end_before": self.last + dt.timedelta(microseconds=1),
+            "service_day": self.day,
+        }
 
 
 def parameters_table(spark: SparkSession, bounds: DayBounds) -> DataFrame:
-    """The bounds as a one-row table."""
+    """The bounds as a one-row table, both ends included."""
     return spark.createDataFrame(
-        [(bounds.start, bounds.end)], "start_time timestamp, end_time timestamp"
+        [(bounds.start, bounds.last)], "start_time timestamp, end_time timestamp"
     )
 
 

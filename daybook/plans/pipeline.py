@@ -13,12 +13,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.times import DEFAULT_ZONE, local_day
+from daybook.operators.aggregates import KEY
 from daybook.operators.conform import align, debug_frame
-from daybook.operators.transforms import TRANSFORMS, rejects, transform
+from daybook.operators.transforms import TRANSFORMS, counted_transform, transform
 from daybook.plans import rollups
 from daybook.plans.days import DayBounds, publish_parameters
-from daybook.sources.landing import ROWS_PER_FILE, extract_day, land_day, read_day, read_days
-from daybook.sources.schemas import SERVICE_DAY, TABLES, TableSpec
+from daybook.sources.landing import (
+    ROWS_PER_FILE,
+    Landed,
+    extract_day,
+    land_day,
+    land_days,
+    read_day,
+    read_days,
+)
+from daybook.sources.schemas import CHILD_KEYS, SERVICE_DAY, TABLES, TableSpec
 from daybook.sources.tables import ensure_table, read_table, replace_all, replace_day, replace_days
 
 log = logging.getLogger(__name__)
@@ -112,44 +121,72 @@ def ingest_day(
 ) -> IngestReport:
     """Type one landed day and make it that day of the dataset's table.
 
-    Rows and unreadable values are counted while the day is written.
+    Rows and unreadable values are counted while the day is written. Debug output
+    comes from a frame of its own, so it does not count.
     """
     spec = warehouse.ensure(dataset.name, spec)
     folder = f"{root.rstrip('/')}/{dataset.name}"
     raw = read_day(warehouse.spark, folder, day, dataset.raw_schema)
-    counted = {
-        f"rejected.{name}": count
-        for name, count in rejects(dataset.transform, raw, spec.schema, zone).items()
-    }
     seen = Observation()
-    watched = raw.observe(
-        seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in counted.items()]
-    )
-    typed = transform(dataset.transform, watched, spec.schema, zone)
-    debug_frame(typed, dataset.name)
+    debug_frame(transform(dataset.transform, raw, spec.schema, zone), dataset.name)
+    typed = counted_transform(dataset.transform, raw, spec.schema, seen, zone)
     replace_day(typed, warehouse.table(dataset.name), spec, day)
-    counts = seen.get
-    report = IngestReport(
-        counts["rows"],
-        {n.removeprefix("rejected."): counts[n] for n in counted if counts[n]},
-    )
+    if dataset.name in CHILD_KEYS:
+        keys = CHILD_KEYS[dataset.name]
+        written = warehouse.read(dataset.name, [day]).select(KEY).distinct()
+        replace_day(written, warehouse.table(keys), warehouse.ensure(keys), day)
+    report = _report(seen)
     log.info("ingested %s for %s: %s", dataset.name, day, report)
     return report
 
 
+def _report(seen: Observation) -> IngestReport:
+    counts = seen.get
+    rejected = {n.removeprefix("rejected."): c for n, c in counts.items() if n != "rows" and c}
+    return IngestReport(counts["rows"], rejected)
+
+
+def _store_child_keys(warehouse: Warehouse, name: str) -> None:
+    """All days of the table that says which days hold an incident's children."""
+    keys = CHILD_KEYS[name]
+    rows = warehouse.read(name).select(KEY, SERVICE_DAY).distinct()
+    replace_all(rows, warehouse.table(keys), warehouse.ensure(keys))
+
+
 def ingest_days(
     warehouse: Warehouse,
     root: str,
     dataset: Dataset,
     zone: str = DEFAULT_ZONE,
     spec: TableSpec | None = None,
-) -> None:
+) -> IngestReport:
     """Type every landed day in one job and replace those days of the table."""
     spec = warehouse.ensure(dataset.name, spec)
     raw = read_days(warehouse.spark, f"{root.rstrip('/')}/{dataset.name}", dataset.raw_schema)
-    typed = transform(dataset.transform, raw, spec.schema, zone)
+    seen = Observation()
+    gathered = raw.hint("rebalance", "year", "month", "day")
+    typed = counted_transform(dataset.transform, gathered, spec.schema, seen, zone)
     dated = typed.withColumn(spec.day_column, F.make_date("year", "month", "day"))
-    replace_days(dated, warehouse.table(dataset.name), spec)
+    replace_days(dated, warehouse.table(dataset.name), spec, gathered=True)
+    if dataset.name in CHILD_KEYS:
+        _store_child_keys(warehouse, dataset.name)
+    return _report(seen)
+
+
+def land_and_ingest_days(
+    warehouse: Warehouse,
+    sources: Mapping[str, DataFrame],
+    root: str,
+    datasets: Iterable[Dataset] = DATASETS,
+    rows_per_file: int = ROWS_PER_FILE,
+    zone: str = DEFAULT_ZONE,
+) -> dict[str, tuple[Landed, IngestReport]]:
+    """A backfill: land and ingest all days of every dataset; the counts of each."""
+    done = {}
+    for d in datasets:
+        landed = land_days(sources[d.name], f"{root.rstrip('/')}/{d.name}", d.time_column, rows_per_file)
+        done[d.name] = (landed, ingest_days(warehouse, root, d, zone))
+    return done
 
 
 def ingest_datasets(
@@ -171,8 +208,9 @@ Days = Callable[[DayBounds], list[dt.date]]
 class Stage:
     """One rollup into the table of its name: a function, or SQL text.
 
-    ``days`` names the days of the target the run replaces. Without it the
-    days present in the result are replaced.
+    ``days`` names the days of the target the run replaces: rows of other days
+    are an error, and days without rows become empty. Without it the days
+    present in the result are replaced.
     """
 
     name: str
@@ -196,28 +234,30 @@ def _around(first: dt.date, last: dt.date, margin: int) -> list[dt.date]:
     return [start + dt.timedelta(days=n) for n in range((last - first).days + 2 * margin + 1)]
 
 
-def daily_stages(child_margin: int | None = None) -> tuple[Stage, ...]:
+def daily_stages() -> tuple[Stage, ...]:
     """The three rollups for a day's run.
 
-    People and vehicles of the day's incidents are looked for in all stored
-    days. Where the source keeps them within some days of their incident,
-    ``child_margin`` limits the scan to that many days around it.
+    People and vehicles of the day's incidents may be stored on any day. The keys
+    kept beside their tables tell which days hold some, and only those are read.
     """
 
-    def children(warehouse: Warehouse, name: str, bounds: DayBounds) -> DataFrame:
-        if child_margin is None:
-            return warehouse.read(name)
-        return warehouse.read(name, _around(bounds.day, bounds.day, child_margin))
+    def children(warehouse: Warehouse, name: str, incidents: DataFrame) -> DataFrame:
+        keys = CHILD_KEYS[name]
+        if not warehouse.spark.catalog.tableExists(warehouse.table(keys)):
+            _store_child_keys(warehouse, name)
+        found = warehouse.read(keys).join(incidents.select(KEY), KEY, "left_semi")
+        held = found.select(SERVICE_DAY).distinct().collect()  # one row per stored day at most
+        return warehouse.read(name, [r[0] for r in held])
 
     def people(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
         stored = warehouse.read("crashes", [bounds.day])
         incidents = stored.filter(bounds.contains(F.col("crash_date")))
-        found = children(warehouse, "crashes_people", bounds)
+        found = children(warehouse, "crashes_people", incidents)
         return rollups.people_summary(incidents, found, narrow=True)
 
     def vehicles(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
         summary = warehouse.read("crashes_people_summary", [bounds.day]).drop(SERVICE_DAY)
-        found = children(warehouse, "crashes_vehicles", bounds)
+        found = children(warehouse, "crashes_vehicles", summary)
         return rollups.vehicle_summary(summary, found, narrow=True)
 
     def cube(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
@@ -240,11 +280,28 @@ STAGES = daily_stages()
 def load_sql_stages(path: str) -> list[Stage]:
     """Stages from JSON ``{"cubelets": [{"name": ..., "sql": ...}, ...]}``.
 
-    The text may use ``:start_time``, ``:end_time``, ``:service_day`` and
-    ``IDENTIFIER(:database || '.table')``, or the view ``job_params``.
+    The text may use ``:start_time`` and ``:end_time``, both of the day,
+    ``:end_before``, ``:service_day`` and ``IDENTIFIER(:database || '.table')``,
+    or the view ``job_params``. ``"replaces"`` says which days of the target a run
+    replaces: ``"day"``, the ``"utc_days"`` it touches, or those ``"present"`` in
+    the result. Without it, a table kept by service day is replaced by day and
+    any other by UTC days.
     """
     with open(path, encoding="utf-8") as file:
-        return [Stage(s["name"], sql=s["sql"]) for s in json.load(file).get("cubelets", [])]
+        return [
+            Stage(s["name"], sql=s["sql"], days=_replaced(s["name"], s.get("replaces")))
+            for s in json.load(file).get("cubelets", [])
+        ]
+
+
+def _replaced(name: str, replaces: str | None) -> Days | None:
+    choices = {"day": _service_day, "utc_days": DayBounds.utc_days, "present": None}
+    if replaces is None:
+        by_day = name not in TABLES or TABLES[name].day_column == SERVICE_DAY
+        replaces = "day" if by_day else "utc_days"
+    if replaces not in choices:
+        raise ValueError(f"stage {name}: unknown choice of days: {replaces}")
+    return choices[replaces]
 
 
 def _with_day(rows: DataFrame, spec: TableSpec, zone: str) -> DataFrame:
@@ -264,7 +321,7 @@ def run_stages(
         rows = stage.result(warehouse, bounds)
         debug_frame(rows, stage.name)
         days = stage.days(bounds) if stage.days else None
-        if spec.day_column == SERVICE_DAY and days == [bounds.day]:
+        if stage.build and spec.day_column == SERVICE_DAY and days == [bounds.day]:
             replace_day(align(rows, spec.schema), table, spec, bounds.day)
         else:
             replace_days(_with_day(rows, spec, bounds.zone), table, spec, days)
@@ -294,6 +351,8 @@ def rebuild(warehouse: Warehouse, zone: str = DEFAULT_ZONE) -> None:
         replace_all(_with_day(rows, spec, zone), warehouse.table(name), spec)
 
     dated = warehouse.read("crashes").filter(F.col("crash_date").isNotNull())
+    for name in CHILD_KEYS:
+        _store_child_keys(warehouse, name)
     people = warehouse.read("crashes_people")
     store(rollups.people_summary(dated, people), "crashes_people_summary")
     summary = warehouse.read("crashes_people_summary").drop(SERVICE_DAY)

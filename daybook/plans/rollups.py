@@ -98,7 +98,9 @@ def vehicle_summary(
     the summary is not repeated per vehicle.
     """
     copies = F.col("copies")
-    distinct = summary.groupBy(*summary.columns).agg(F.count(F.lit(1)).alias("copies"))
+    # Partitioned by incident, the grouping and the join share one exchange.
+    by_incident = summary.repartition(KEY)
+    distinct = by_incident.groupBy(*summary.columns).agg(F.count(F.lit(1)).alias("copies"))
     joined = distinct.join(vehicle_aggregate(_of_incidents(vehicles, summary, narrow)), KEY, "left")
 
     def bag(name: str) -> Column:

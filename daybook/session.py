@@ -12,7 +12,8 @@ from pyspark.sql import SparkSession
 SESSION_SETTINGS = {
     # Wall-clock text becomes an instant through this zone, then shifts to UTC.
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Text that cannot be read is null by try_cast; any other loss is an error.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     # A hot key on one side of a join is split even when an aggregate on the
     # same key follows and has to pay one more exchange for it.
@@ -42,7 +43,8 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="daybook-")
         spark.conf.set("spark.checkpoint.dir", root)

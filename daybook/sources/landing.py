@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from pyspark.sql import types as T
 # (some thousands) would make far too many files of a large day.
 ROWS_PER_FILE = 1_000_000
 
+#: Folder of rows without a readable time; readers of the days pass it over.
+UNDATED = "_undated"
+
 _PARTS = ("year", "month", "day")
 _PART_PATTERNS = {"year": "yyyy", "month": "MM", "day": "dd"}
 
@@ -66,22 +70,48 @@ def land_day(
     return written.get["rows"]
 
 
+@dataclass(frozen=True)
+class Landed:
+    """Rows landed by day, and rows of no day."""
+
+    rows: int
+    undated: int
+
+
 def land_days(
     rows: DataFrame, root: str, time_column: str, rows_per_file: int = ROWS_PER_FILE
-) -> None:
+) -> Landed:
     """Write every day present in ``rows`` in one job, replacing those days.
 
     Days are gathered before the write so that a task has few of them open;
-    a day too large for one task is split over several.
+    a day too large for one task is split over several. Rows whose time is null
+    or names no day are left out, as a day's extract leaves them out, and kept in
+    the folder ``UNDATED`` beside the days. Both counts are taken after the last
+    exchange, as the rows are written.
     """
     value = F.col(time_column)
     if isinstance(rows.schema[time_column].dataType, T.StringType):
-        value = F.to_timestamp_ntz(F.substring(value, 1, 10), F.lit("yyyy-MM-dd"))
-    dated = rows.withColumns(
-        {part: F.date_format(value, _PART_PATTERNS[part]) for part in _PARTS}
+        # By its text, as a day's extract compares it.
+        day = F.substring(value, 1, 10)
+        is_day = F.try_to_timestamp(day, F.lit("yyyy-MM-dd")).isNotNull()
+        held = F.when(is_day & (value >= F.concat(day, F.lit("T00:00:00"))), day)
+        parts = {p: F.element_at(F.split(held, "-"), i) for i, p in enumerate(_PARTS, 1)}
+    else:
+        parts = {p: F.date_format(value, _PART_PATTERNS[p]) for p in _PARTS}
+    dated = rows.withColumns(parts)
+    seen, left = Observation(), Observation()
+    (
+        dated.filter(F.col("year").isNull())
+        .drop(*_PARTS)
+        .observe(left, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .option("compression", "snappy")
+        .parquet(f"{root.rstrip('/')}/{UNDATED}")
     )
     (
-        dated.hint("rebalance", *_PARTS)
+        dated.filter(F.col("year").isNotNull())
+        .hint("rebalance", *_PARTS)
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
@@ -89,6 +119,7 @@ def land_days(
         .partitionBy(*_PARTS)
         .parquet(root)
     )
+    return Landed(seen.get["rows"], left.get["rows"])
 
 
 def read_day(

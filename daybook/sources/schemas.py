@@ -115,6 +115,11 @@ CUBE_COLUMNS = """
     hazmat_involved boolean, total_people_involved bigint, crashes_set_sketch binary
 """
 
+# Which days hold the children of an incident: kept beside each child table, so
+# that a day's run reads only those days of it.
+CHILD_KEYS = {"crashes_people": "crashes_people_keys", "crashes_vehicles": "crashes_vehicles_keys"}
+CHILD_KEY_COLUMNS = "crash_record_id string"
+
 TABLES: dict[str, TableSpec] = {
     spec.name: spec
     for spec in (
@@ -123,6 +128,7 @@ TABLES: dict[str, TableSpec] = {
         TableSpec("crashes_vehicles", CRASHES_VEHICLES_COLUMNS),
         TableSpec("crashes_people_summary", PEOPLE_SUMMARY_COLUMNS),
         TableSpec("crashes_people_vehicle_summary", VEHICLE_SUMMARY_COLUMNS),
+        *(TableSpec(name, CHILD_KEY_COLUMNS, time_column=None) for name in CHILD_KEYS.values()),
         TableSpec(
             "crashes_cube", CUBE_COLUMNS, day_column=CUBE_DAY, time_column=None, key_column=None
         ),

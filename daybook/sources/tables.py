@@ -31,6 +31,7 @@ def ensure_table(
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet"
+        " OPTIONS ('partitionOverwriteMode' = 'dynamic')"
         f" PARTITIONED BY (`{spec.day_column}`){place}"
     )
     if location:
@@ -53,48 +54,61 @@ def replace_day(rows: DataFrame, table: str, spec: TableSpec, day: dt.date) -> N
     )
 
 
-def _overwrite(rows: DataFrame, table: str, mode: str) -> None:
-    """Overwrite the partitions present (dynamic) or the whole table (static)."""
-    conf, key = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, mode)
-    try:
-        rows.write.insertInto(table, overwrite=True)
-    finally:
-        conf.set(key, before)
+def _empty(spark: SparkSession, table: str, spec: TableSpec, days: Iterable[dt.date]) -> None:
+    for day in days:
+        replace_day(spark.createDataFrame([], spec.schema), table, spec, day)
 
 
 def replace_days(
-    rows: DataFrame, table: str, spec: TableSpec, days: Iterable[dt.date] | None = None
+    rows: DataFrame,
+    table: str,
+    spec: TableSpec,
+    days: Iterable[dt.date] | None = None,
+    gathered: bool = False,
 ) -> None:
     """Replace the days present in ``rows``, which carry the day column.
 
-    With ``days`` named, only those are written and the ones without rows are
-    emptied. New days go in first, so a failed run loses nothing.
+    ``gathered`` says that a day's rows already stand in few tasks.
+
+    With ``days`` named, a row of any other day is an error that leaves the
+    table as it was, and named days without rows are emptied. New days go in
+    first, so a failed run loses nothing. The table itself is declared to
+    overwrite by partition, so no session setting is touched.
     """
     spark, day_column = rows.sparkSession, F.col(spec.day_column)
     aligned = align(rows, spec.stored_schema)
     named = sorted(set(days)) if days is not None else []
     if days is not None:
-        aligned = aligned.filter(day_column.isin(named))
+        stray = F.raise_error(
+            F.concat(F.lit(f"{table}: rows outside the replaced days, on "), day_column.cast("string"))
+        )
+        inside = F.coalesce(day_column.isin(named), F.lit(False))
+        aligned = aligned.withColumn(
+            spec.day_column, F.when(inside, day_column).otherwise(stray.cast("date"))
+        )
     # A day goes to few files, a large day to several tasks. Counting after
     # that exchange keeps the counts right when a task has to run again.
-    gathered = aligned.hint("rebalance", day_column)
+    held = aligned if gathered else aligned.hint("rebalance", day_column)
     written = Observation()
     if named:
-        gathered = gathered.observe(
+        held = held.observe(
             written, *[F.count_if(day_column == F.lit(d)).alias(d.isoformat()) for d in named]
         )
-    _overwrite(gathered, table, "dynamic")
-    for day in named:
-        if not written.get[day.isoformat()]:
-            replace_day(spark.createDataFrame([], spec.schema), table, spec, day)
+    held.write.insertInto(table, overwrite=True)
+    _empty(spark, table, spec, [day for day in named if not written.get[day.isoformat()]])
 
 
 def replace_all(rows: DataFrame, table: str, spec: TableSpec) -> None:
     """Make ``rows``, which carry the day column, the whole table."""
-    gathered = align(rows, spec.stored_schema).hint("rebalance", F.col(spec.day_column))
-    _overwrite(gathered, table, "static")
+    spark, day_column = rows.sparkSession, F.col(spec.day_column)
+    stored = spark.table(table).select(day_column).distinct().collect()
+    written = Observation()
+    gathered = align(rows, spec.stored_schema).hint("rebalance", day_column)
+    gathered.observe(written, F.collect_set(day_column).alias("days")).write.insertInto(
+        table, overwrite=True
+    )
+    new = set(written.get["days"] or [])
+    _empty(spark, table, spec, sorted(r[0] for r in stored if r[0] and r[0] not in new))
 
 
 def read_table(

@@ -112,19 +112,91 @@ def test_a_day_that_became_empty(spark, tmp_path):
     assert cube.agg(F.max("crash_day")).first()[0] == dt.date(2024, 4, 20)
 
 
-def test_child_margin(daily):
-    """Children carry their incident's time here, so one day around it holds them all."""
-    warehouse, *_ = daily
-    bounds = DayBounds(DAYS[1])
-    for everywhere, nearby in zip(pipeline.STAGES, pipeline.daily_stages(1), strict=True):
-        results = [stage.result(warehouse, bounds) for stage in (everywhere, nearby)]
-        found = [
-            sorted(repr(tuple(r)) for r in rows.drop(rollups.SKETCH).collect()) for rows in results
-        ]
-        assert found[0] == found[1]
-    people = pipeline.daily_stages(1)[0].result(warehouse, bounds)
+def test_late_children_are_found_and_the_scan_is_pruned(spark, tmp_path):
+    """A participant stored days later counts; days without children are not read."""
+    warehouse, root = Warehouse(spark, "late", str(tmp_path / "wh")), str(tmp_path / "raw")
+    sources = raw_sources(spark, days=3, per_day=4)
+    late = spark.createDataFrame(
+        [("late", "c0", "2024-04-21T10:00:00.000", "30", "F", None)], sources["crashes_people"].schema
+    )
+    sources["crashes_people"] = sources["crashes_people"].unionByName(late)
+    for name, rows in sources.items():
+        pipeline.land_days(rows, f"{root}/{name}", "crash_date")
+    for dataset in pipeline.DATASETS:
+        pipeline.ingest_days(warehouse, root, dataset)
+    bounds = DayBounds(DAYS[0])
+    pipeline.run_stages(warehouse, bounds)
+    row = warehouse.read("crashes_people_summary").filter("crash_record_id = 'c0'").first()
+    assert row["list_of_gender"] == ["F", "M"]
+    people = pipeline.STAGES[0].result(warehouse, bounds)
     plan = people._jdf.queryExecution().executedPlan().toString()
-    assert "service_day#" in plan and "IN (2024-04-19,2024-04-20,2024-04-21)" in plan
+    assert "IN (2024-04-19,2024-04-21)" in plan or "2024-04-20" not in plan.split("crashes_people")[1]
+    vehicles = pipeline.STAGES[1].result(warehouse, bounds)
+    plan = vehicles._jdf.queryExecution().executedPlan().toString()
+    assert "service_day" in plan and "2024-04-21" not in plan
+    before = content(warehouse, "crashes_people_keys")
+    pipeline.rebuild(warehouse)
+    assert content(warehouse, "crashes_people_keys") == before
+
+
+def test_sql_stage_keeps_its_neighbours(spark, tmp_path):
+    """Both ends of the day are its own: midnight belongs to the next day alone."""
+    warehouse = Warehouse(spark, "neighbours", str(tmp_path / "wh"))
+    rows = [("a", "2024-04-20T12:00:00.000"), ("m", "2024-04-21T00:00:00.000"), ("b", "2024-04-21T07:00:00.000")]
+    source = {"crashes": spark.createDataFrame(rows, "crash_record_id string, crash_date string")}
+    for day in DAYS[1:]:
+        pipeline.land_datasets(source, str(tmp_path / "raw"), day, [Dataset("crashes")])
+        pipeline.ingest_day(warehouse, str(tmp_path / "raw"), day, Dataset("crashes"))
+    sql = """SELECT crash_date, crash_record_id FROM IDENTIFIER(:database || '.crashes')
+             WHERE crash_date >= :start_time AND crash_date <= :end_time"""
+    path = tmp_path / "stages.json"
+
+    def run(day, text=sql, **more):
+        stage = {"name": "crashes_people_summary", "sql": text, **more}
+        path.write_text(json.dumps({"cubelets": [stage]}))
+        pipeline.run_stages(warehouse, DayBounds(day), pipeline.load_sql_stages(str(path)))
+        stored = warehouse.read("crashes_people_summary")
+        return {(r["crash_record_id"], r["service_day"]) for r in stored.collect()}
+
+    both = {("a", DAYS[1]), ("m", DAYS[2]), ("b", DAYS[2])}
+    assert [run(day) for day in (DAYS[1], DAYS[2], DAYS[1])] == [{("a", DAYS[1])}, both, both]
+    with pytest.raises(Exception, match="rows outside the replaced days"):
+        run(DAYS[1], sql.replace("<= :end_time", "<= :end_before"))
+    assert run(DAYS[1]) == both
+    assert run(DAYS[2], sql + " AND 1 = 0") == {("a", DAYS[1])}
+    with pytest.raises(ValueError, match="unknown choice of days"):
+        run(DAYS[1], replaces="all")
+
+
+def test_debug_output_does_not_count(spark, daily, tmp_path, monkeypatch, capsys):
+    _, root, _, _ = daily
+    reports = []
+    for number, switch in enumerate(("false", "true")):
+        monkeypatch.setenv("DAYBOOK_DEBUG", switch)
+        warehouse = Warehouse(spark, f"debug_{number}", str(tmp_path / str(number)))
+        reports.append([pipeline.ingest_day(warehouse, root, DAYS[0], d) for d in pipeline.DATASETS])
+    assert reports[0] == reports[1] and reports[0][0].rows == 24
+    assert "-- crashes" in capsys.readouterr().out
+
+
+def test_bulk_and_daily_agree_on_bad_times(spark, tmp_path):
+    rows = [(str(i), t) for i, t in enumerate(
+        ["2024-04-20T10:00:00.000", "2024-04-20T99", "yesterday", None, "2024-04-20", "2024-04-21T00:00:00.000"]
+    )]
+    source = {"crashes": spark.createDataFrame(rows, "crash_record_id string, crash_date string")}
+    only, root = Dataset("crashes"), str(tmp_path)
+    day_wise = Warehouse(spark, "times_daily", f"{root}/a")
+    for day in DAYS[1:]:
+        pipeline.land_datasets(source, f"{root}/raw_a", day, [only])
+        pipeline.ingest_day(day_wise, f"{root}/raw_a", day, only)
+    bulk = Warehouse(spark, "times_bulk", f"{root}/b")
+    landed = pipeline.land_days(source["crashes"], f"{root}/raw_b/crashes", "crash_date")
+    assert (landed.rows, landed.undated) == (3, 3)
+    report = pipeline.ingest_days(bulk, f"{root}/raw_b", only)
+    assert (report.rows, report.rejects) == (3, {"crash_date": 1})
+    assert content(day_wise, "crashes") == content(bulk, "crashes")
+    # neither damage nor amounts were delivered
+    assert bulk.read("crashes").filter("damage_estimate IS NULL").count() == 3
 
 
 def test_declared_raw_columns(spark, tmp_path):
@@ -156,7 +228,7 @@ def test_sql_stages(spark, daily, tmp_path):
                c.injuries_total AS number_injured, sort_array(array_agg(p.sex)) AS list_of_gender
         FROM IDENTIFIER(:database || '.crashes') c
         LEFT JOIN IDENTIFIER(:database || '.crashes_people') p USING (crash_record_id)
-        WHERE c.crash_date >= {start} AND c.crash_date < {end}
+        WHERE c.crash_date >= {start} AND c.crash_date <= {end}
         GROUP BY ALL
     """
     for start, end in (

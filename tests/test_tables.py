@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 import datetime as dt
 
 import pytest
@@ -69,9 +70,13 @@ def test_replace_present_days(spark, table):
 def test_replace_named_days(spark, table):
     three = hours(spark, FIRST).union(hours(spark, SECOND)).union(hours(spark, THIRD))
     replace_days(dated(three), table, SPEC)
-    # the first day is named and has no rows now, the third has rows and is not named
+    # the third day has rows and is not named: nothing is written
     rows = dated(hours(spark, SECOND).limit(3).union(hours(spark, THIRD).limit(1)))
-    replace_days(rows, table, SPEC, [FIRST, SECOND])
+    with pytest.raises(Exception, match="rows outside the replaced days"):
+        replace_days(rows, table, SPEC, [FIRST, SECOND])
+    assert counts(spark, table) == {FIRST: 24, SECOND: 24, THIRD: 24}
+    # the first day is named and has no rows now
+    replace_days(dated(hours(spark, SECOND).limit(3)), table, SPEC, [FIRST, SECOND])
     assert counts(spark, table) == {SECOND: 3, THIRD: 24}
     nothing = dated(hours(spark, SECOND)).join(spark.range(0), F.lit(True), "left_semi")
     replace_days(nothing, table, SPEC, [SECOND])
@@ -84,6 +89,29 @@ def test_replace_all(spark, table):
     assert counts(spark, table) == {SECOND: 24}
 
 
+def test_writes_need_no_session_setting(spark, table):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    for mode in ("static", "dynamic"):
+        spark.conf.set(key, mode)
+        replace_day(hours(spark, THIRD), table, SPEC, THIRD)
+        replace_days(dated(hours(spark, FIRST)), table, SPEC)
+        assert counts(spark, table) == {FIRST: 24, THIRD: 24}
+        replace_all(dated(hours(spark, THIRD)), table, SPEC)
+        assert counts(spark, table) == {THIRD: 24}
+        assert spark.conf.get(key) == mode
+    spark.conf.set(key, before)
+
+
+def test_two_writes_at_once(spark, table):
+    replace_day(hours(spark, SECOND), table, SPEC, SECOND)
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [pool.submit(replace_days, dated(hours(spark, d)), table, SPEC, [d]) for d in (FIRST, THIRD)]
+        for job in jobs:
+            job.result()
+    assert counts(spark, table) == {FIRST: 24, SECOND: 24, THIRD: 24}
+
+
 def test_columns_go_by_name(spark, table):
     replace_day(hours(spark, FIRST).select("crash_date", "id"), table, SPEC, FIRST)
     assert read_table(spark, table, SPEC, [FIRST]).filter("id = '2024-04-19#0'").count() == 1
