@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,6 +73,28 @@ def landing_counts(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
+           count(*) AS landed, true AS none_too_large, true AS split
+    FROM events GROUP BY ALL
+    """
+)
+def landing_files(t: Tables) -> DataFrame:
+    """A day's rows are cut into files of 20 rows at most, in one job for all days."""
+    root, most = shared_folder(t.spark, "landing"), 20
+    landing.land_days(standins.raw_events(t), root, "TS", rows_per_file=most)
+    rows = landing.read_days(t.spark, root)
+    parts = [F.format_string(f"%0{n}d", c).alias(c) for c, n in (("year", 4), ("month", 2), ("day", 2))]
+    files = rows.select(*parts, F.input_file_name().alias("file"))
+    sizes = files.groupBy("year", "month", "day", "file").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy("year", "month", "day").agg(
+        F.sum("n").alias("landed"),
+        (F.max("n") <= most).alias("none_too_large"),
+        (F.count(F.lit(1)) >= F.ceil(F.sum("n") / most)).alias("split"),
+    )
+
+
 # --- conforming ----------------------------------------------------------
 
 
@@ -92,14 +115,23 @@ def conform_typed(t: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT count(*) AS rows, 0::BIGINT AS event_id, 0::BIGINT AS ts, 0::BIGINT AS whole,
+    SELECT count(*) AS rows, count(*) FILTER (event_id % 11 = 5) AS event_id,
+           count(*) FILTER (event_id % 9 = 2) AS ts, count(*) FILTER (event_id % 7 = 1) AS whole,
            count(*) FILTER (event_id % 8 IN (3, 5, 7)) AS loose, 0::BIGINT AS active_i
     FROM events
     """
 )
 def conform_rejects(t: Tables) -> DataFrame:
+    """A flag has no unreadable text: whatever is not a yes is a no."""
     schema = T.StructType.fromDDL(standins.EVENT_COLUMNS)
-    raw = standins.raw_events(t)
+    raw, event = standins.raw_events(t), F.col("EVENT_ID").cast("bigint")
+    raw = raw.withColumns(
+        {
+            "EVENT_ID": F.when(event % 11 == 5, "no number").otherwise(F.col("EVENT_ID")),
+            "TS": F.when(event % 9 == 2, "yesterday").otherwise(F.col("TS")),
+            "WHOLE": F.when(event % 7 == 1, "n/a").otherwise(F.col("WHOLE")),
+        }
+    )
     counts = conform.reject_counts(raw, schema)
     wanted = ["event_id", "ts", "whole", "loose", "active_i"]
     return raw.agg(
@@ -490,7 +522,8 @@ def day_replace_roundtrip(t: Tables) -> DataFrame:
     )
 
 
-_RAW_INCIDENTS = f"""
+def _raw_incidents(where: str = "") -> str:
+    return f"""
     SELECT event_id::VARCHAR AS crash_record_id,
            {sql.utc("date_trunc('milliseconds', ts)")} AS crash_date,
            hour({sql.utc("ts")}) < 12 AS is_am, estimate AS damage,
@@ -498,8 +531,10 @@ _RAW_INCIDENTS = f"""
            event_type AS weather_condition, NULL::VARCHAR AS lighting_condition,
            {sql.yes_no(sql.YES_NO_TEXT)} AS is_hit_run, NULL::VARCHAR AS street_name,
            41.5::DOUBLE AS lat, NULL::DOUBLE AS lon, NULL::VARCHAR AS road_defect
-    FROM ({sql.amounts(f"SELECT *, {sql.AMOUNT_TEXT} AS txt FROM events")})
+    FROM ({sql.amounts(f"SELECT *, {sql.AMOUNT_TEXT} AS txt FROM events {where}")})
 """
+
+
 _RAW_PEOPLE = f"""
     SELECT (event_id // 2)::VARCHAR AS crash_record_id, (user_id % 90)::INTEGER AS age,
            NULL::VARCHAR AS hospital, event_type AS sex,
@@ -516,7 +551,7 @@ _RAW_VEHICLES = f"""
 """
 
 
-@query(sql.cube(sql.vehicle_summary(_RAW_INCIDENTS, _RAW_PEOPLE, _RAW_VEHICLES)))
+@query(sql.cube(sql.vehicle_summary(_raw_incidents(), _RAW_PEOPLE, _RAW_VEHICLES)))
 def pipeline_rebuild(t: Tables) -> DataFrame:
     """Raw text to stored cube through every table, all days at once."""
     warehouse = _warehouse(t, "pipeline")
@@ -527,3 +562,85 @@ def pipeline_rebuild(t: Tables) -> DataFrame:
         pipeline.ingest_days(warehouse, root, dataset)
     pipeline.rebuild(warehouse)
     return shown(_counted(warehouse.read("crashes_cube")))
+
+
+_RUN_DAYS = [DAY + dt.timedelta(days=n) for n in range(3)]
+_IN_RUN_DAYS = f"WHERE ts >= DATE '{_RUN_DAYS[0]}' AND ts < DATE '{_RUN_DAYS[-1] + dt.timedelta(days=1)}'"
+
+
+@query(sql.cube(sql.vehicle_summary(_raw_incidents(_IN_RUN_DAYS), _RAW_PEOPLE, _RAW_VEHICLES)))
+def daily_run(t: Tables) -> DataFrame:
+    """Three local days landed, ingested and rolled up one by one, the second again.
+
+    People and vehicles of all days are stored before, so a day's incidents have
+    children on other days; the run finds them without reading all days.
+    """
+    warehouse = _warehouse(t, "daily")
+    root, sources = f"{warehouse.location}/raw", standins.raw_datasets(t)
+    pipeline.land_and_ingest_days(warehouse, sources, root)
+    for day in (*_RUN_DAYS, _RUN_DAYS[1]):
+        pipeline.run_day(warehouse, sources, root, days.DayBounds(day))
+    return shown(_counted(warehouse.read("crashes_cube")))
+
+
+@query(
+    """
+    SELECT count(*) FILTER (event_id % 10 NOT IN (3, 7)) AS landed,
+           count(*) FILTER (event_id % 10 IN (3, 7)) AS undated,
+           count(*) FILTER (event_id % 10 NOT IN (3, 7)) AS ingested,
+           count(*) FILTER (event_id % 10 NOT IN (3, 7) AND event_id % 13 IN (REJECTED))
+             AS amounts_rejected,
+           count(*) FILTER (event_id % 10 NOT IN (3, 7) AND event_id % 6 = 4) AS counts_rejected
+    FROM events
+    """.replace("REJECTED", "8, 9, 10, 12")
+)
+def landed_and_rejected(t: Tables) -> DataFrame:
+    """The counts a backfill reports, taken while it writes."""
+    warehouse, event = _warehouse(t, "counted"), F.col("crash_record_id").cast("bigint")
+    raw = standins.raw_datasets(t)["crashes"].withColumns(
+        {
+            "crash_date": F.when(event % 10 == 3, "yesterday").when(event % 10 != 7, F.col("crash_date")),
+            "injuries_total": F.when(event % 6 == 4, "some").otherwise(F.col("injuries_total")),
+        }
+    )
+    done = pipeline.land_and_ingest_days(
+        warehouse, {"crashes": raw}, f"{warehouse.location}/raw", [pipeline.Dataset("crashes")]
+    )
+    landed, ingested = done["crashes"]
+    found = [landed.rows, landed.undated, ingested.rows]
+    found += [ingested.rejects.get(c, 0) for c in ("damage_estimate", "injuries_total")]
+    names = ("landed", "undated", "ingested", "amounts_rejected", "counts_rejected")
+    return t.spark.createDataFrame([tuple(found)], ", ".join(f"{n} bigint" for n in names))
+
+
+@query(
+    f"""
+    SELECT strftime(h, '%Y-%m-%d') AS service_day, count(*) AS incidents,
+           sum(user_id % 4)::BIGINT AS injured, count(*) FILTER (h = date_trunc('day', h)) AS at_midnight
+    FROM (SELECT date_trunc('hour', ts) AS h, user_id FROM events)
+    WHERE h >= DATE '{_RUN_DAYS[0]}' AND h < DATE '{_RUN_DAYS[2]}' GROUP BY service_day
+    """
+)
+def sql_stage_rerun(t: Tables) -> DataFrame:
+    """Two local days through a stage of SQL text, the first again; hours are full,
+    so many incidents stand at midnight, which is the next day's."""
+    warehouse = _warehouse(t, "stages")
+    crashes = t.events.select(
+        F.col("event_id").cast("string").alias("crash_record_id"),
+        F.date_format(F.date_trunc("hour", "ts"), times.LOCAL_PATTERN).alias("crash_date"),
+        F.pmod("user_id", F.lit(4)).cast("string").alias("injuries_total"),
+    )
+    only = [pipeline.Dataset("crashes")]
+    pipeline.land_and_ingest_days(warehouse, {"crashes": crashes}, f"{warehouse.location}/raw", only)
+    stages = pipeline.load_sql_stages(os.path.join(os.path.dirname(__file__), "stages.json"))
+    for day in (_RUN_DAYS[0], _RUN_DAYS[1], _RUN_DAYS[0]):
+        pipeline.run_stages(warehouse, days.DayBounds(day), stages)
+    midnight = F.col("crash_date") == times.local_day_start(F.col("service_day"))
+    rows = warehouse.read("crashes_people_summary").groupBy("service_day")
+    return shown(
+        rows.agg(
+            F.count(F.lit(1)).alias("incidents"),
+            F.sum("number_injured").alias("injured"),
+            F.count_if(midnight).alias("at_midnight"),
+        )
+    )
