@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.functions import bags
-from daybook.functions.sketches import distinct_estimate, key_sketch
+from daybook.functions.sketches import distinct_estimate, key_sketch, merged_sketch
 from daybook.operators.aggregates import AGE_BANDS, participant_aggregate, sorted_bag, vehicle_aggregate
 from daybook.plans import rollups
 
@@ -292,3 +292,35 @@ def test_sketches(spark):
     assert estimate(letters.filter("k IS NULL"), "k") == 0
     assert estimate(spark.range(4000), "id") == 4000
     assert estimate(spark.range(200_000), "id") == pytest.approx(200_000, rel=0.05)
+
+
+def test_stored_summary_is_exchanged_once(spark):
+    """Read from its table, the summary is partitioned by incident for grouping and join."""
+    summary = spark.range(50).selectExpr(
+        "cast(id AS string) AS crash_record_id", "timestamp'2024-04-20 10:00:00' AS crash_date",
+        "array('a') AS list_of_gender", "id % 3 AS number_injured",
+    )
+    vehicles = spark.range(200).selectExpr(
+        "cast(id % 60 AS string) AS crash_record_id", "'TAXI' AS vehicle_use", "'FORD' AS make",
+        "true AS fire_i", "id AS occupant_cnt", "cast(null AS string) AS hazmat_class",
+    )
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        for threshold in ("-1", before):
+            spark.conf.set(key, threshold)
+            rows = rollups.vehicle_summary(summary, vehicles)
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            wide = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "list_of_gender" in x]
+            assert not wide, plan
+            assert rows.count() == 50
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_merged_sketches_estimate_beyond_their_size(spark):
+    """Two overlapping sketches of far more than 4,096 keys each."""
+    rows = spark.range(300_000).selectExpr("id % 2 AS part", "cast(id % 250000 AS string) AS k")
+    parts = rows.groupBy("part").agg(key_sketch(F.col("k")).alias("s"))
+    merged = parts.agg(merged_sketch(F.col("s")).alias("s")).select(distinct_estimate(F.col("s"))).first()[0]
+    assert abs(merged / 250_000 - 1) < 0.05
