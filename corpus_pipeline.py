@@ -46,10 +46,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare_workers(spark)
     ranks = byte_bpe.read_ranks(public_tokenizers.path(queries.RANK_FILE))
-    encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    counted = encoded.withColumn("n_tokens", F.size("ids").cast("bigint"))
-    back = byte_bpe.decode(counted, ranks, keep_ids=True)
-    return back.withColumn("text", F.col("decoded").cast("string")).drop("decoded")
+    coded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded")
+    return coded.withColumns(
+        {"n_tokens": F.size("ids").cast("bigint"), "text": F.col("decoded").cast("string")}
+    ).drop("decoded")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

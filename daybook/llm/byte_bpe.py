@@ -16,7 +16,7 @@ one named like a result is replaced.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -125,15 +125,27 @@ def _others(rows: DataFrame, taken: str, result: str) -> list[str]:
     return [c for c in rows.columns if c not in (taken, result)]
 
 
+def _decoded(packed: bytes, token: Callable[[int], bytes]) -> bytes:
+    return b"".join(map(token, np.frombuffer(packed, dtype="<u4").tolist()))
+
+
 def encode(
-    rows: DataFrame, file: bytes, pattern: str, text: str = "text", ids: str = "ids"
+    rows: DataFrame,
+    file: bytes,
+    pattern: str,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str = "",
 ) -> DataFrame:
-    """``rows`` with ``ids`` (array<int>) in place of the text."""
-    rest = _others(rows, text, ids)
+    """``rows`` with ``ids`` (array<int>) in place of the text, and if named the
+    bytes that the ids decode to, in the same pass."""
+    rest = [c for c in _others(rows, text, ids) if c != decoded]
+    added = [ids, *([decoded] if decoded else [])]
     schema = T.StructType([rows.schema[c] for c in rest]).add(ids, T.ArrayType(T.IntegerType()))
+    schema = schema.add(decoded, T.BinaryType()) if decoded else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, pieces = regex.compile(pattern).findall, _pieces(file)
+        split, pieces, token = regex.compile(pattern).findall, _pieces(file), _tokens(file).__getitem__
         for part in slices(batches, text):
             packed = [
                 b"".join(map(pieces.__getitem__, split(t))) if t else b""
@@ -143,23 +155,20 @@ def encode(
             values = pa.array(np.frombuffer(b"".join(packed), dtype="<i4"))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
             columns = [column(part, c) for c in rest] + [lists]
-            yield pa.RecordBatch.from_arrays(columns, names=[*rest, ids])
+            if decoded:
+                columns.append(pa.array([_decoded(p, token) for p in packed], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*rest, *added])
 
     return rows.select(*(f"`{c}`" for c in [*rest, text])).mapInArrow(run, schema)
 
 
 def decode(
-    rows: DataFrame,
-    file: bytes,
-    ids: str = "ids",
-    decoded: str = "decoded",
-    packed: str = "",
-    keep_ids: bool = False,
+    rows: DataFrame, file: bytes, ids: str = "ids", decoded: str = "decoded", packed: str = ""
 ) -> DataFrame:
     """``rows`` with the bytes of their ids, and if named the ids packed as
-    little-endian unsigned 32-bit numbers, in place of the list or beside it."""
+    little-endian unsigned 32-bit numbers, in place of the list."""
     added = [decoded, *([packed] if packed else [])]
-    rest = [c for c in rows.columns if (keep_ids or c != ids) and c not in added]
+    rest = [c for c in rows.columns if c != ids and c not in added]
     schema = T.StructType([rows.schema[c] for c in rest])
     for name in added:
         schema = schema.add(name, T.BinaryType())
@@ -179,5 +188,4 @@ def decode(
             columns += [pa.array(numbers, pa.binary())] if packed else []
             yield pa.RecordBatch.from_arrays(columns, names=[*rest, *added])
 
-    asked = rest if keep_ids else [*rest, ids]
-    return rows.select(*(f"`{c}`" for c in asked)).mapInArrow(run, schema)
+    return rows.select(*(f"`{c}`" for c in [*rest, ids])).mapInArrow(run, schema)

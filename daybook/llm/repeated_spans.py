@@ -39,8 +39,8 @@ from daybook.llm.common import column, slices, utf8_texts, written
 from daybook.llm.suffix_array import permuted_prefixes, suffix_array
 
 LENGTH = 400
-SHARD_BYTES = 2 << 20
-STRETCH = 1 << 19
+SHARD_BYTES = 1 << 20
+STRETCH = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _SEGMENT = ["h", "sd", "n"]

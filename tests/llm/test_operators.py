@@ -430,11 +430,14 @@ def reference(ranks):
 
 def test_byte_bpe_round_trip(table, empty, docs, ranks, reference):
     encoded = byte_bpe.encode(table, ranks, public_tokenizers.PATTERN)
-    back = byte_bpe.decode(encoded, ranks, keep_ids=True).collect()
-    got = collections.Counter((r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in back)
-    assert got == collections.Counter(
-        (i, tuple(reference.encode_ordinary(t or "")), raw(t)) for i, t in docs
-    )
+    back = byte_bpe.decode(encoded, ranks, packed="packed").collect()
+    at_once = byte_bpe.encode(table, ranks, public_tokenizers.PATTERN, decoded="kept").collect()
+    wanted = collections.Counter((i, tuple(reference.encode_ordinary(t or "")), raw(t)) for i, t in docs)
+    unpacked = [tuple(np.frombuffer(r["packed"], "<u4").tolist()) for r in back]
+    assert collections.Counter(
+        (r["doc_id"], ids, bytes(r["decoded"])) for r, ids in zip(back, unpacked, strict=True)
+    ) == wanted
+    assert collections.Counter((r["doc_id"], tuple(r["ids"]), bytes(r["kept"])) for r in at_once) == wanted
     assert byte_bpe.encode(empty, ranks, public_tokenizers.PATTERN).count() == 0
 
 
