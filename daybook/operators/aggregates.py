@@ -81,9 +81,9 @@ def participant_aggregate(people: DataFrame, alcohol_column: str = "bac_result")
 def vehicle_aggregate(vehicles: DataFrame) -> DataFrame:
     """One row per incident; uses and makes as bags.
 
-    The first grouping spreads an incident over reducers by use and make. Only
-    distinct combinations move on to the incident's own reducer, where they are
-    counted per use and per make as rows before the bags are collected.
+    The first grouping spreads an incident over reducers by use and make, and the
+    second spreads its distinct combinations by each use and each make, counted
+    as rows. Only distinct values move on to the incident's own reducer.
     """
     combinations = vehicles.groupBy(KEY, "vehicle_use", "make").agg(
         F.count(F.lit(1)).alias("n"),
@@ -106,10 +106,8 @@ def vehicle_aggregate(vehicles: DataFrame) -> DataFrame:
         entry("vehicle_use", F.col("fire"), F.col("hazmat"), F.col("occupants")),
         entry("make", nothing.cast("boolean"), nothing.cast("boolean"), nothing.cast("bigint")),
     )
-    # Partitioned by incident once, both groupings below need no exchange.
     per_value = (
-        combinations.repartition(KEY)
-        .select(KEY, F.inline(entries))
+        combinations.select(KEY, F.inline(entries))
         .groupBy(KEY, "kind", "value")
         .agg(
             F.sum("n").alias("n"),

@@ -74,6 +74,6 @@ def test_large_chain_shuffles_by_incident(spark):
         text = plan(driver.queries()["incident_cube"](spark, FOLDER))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # incidents, people; vehicles by combination and by incident; the cube;
-    # and the two sides of the stand-in's join of line items with parts
-    assert text.count("Exchange hashpartitioning") == 7
+    # incidents, people; vehicles by combination, by value and by incident; the
+    # cube; and the two sides of the stand-in's join of line items with parts
+    assert text.count("Exchange hashpartitioning") == 8

@@ -324,3 +324,21 @@ def test_merged_sketches_estimate_beyond_their_size(spark):
     parts = rows.groupBy("part").agg(key_sketch(F.col("k")).alias("s"))
     merged = parts.agg(merged_sketch(F.col("s")).alias("s")).select(distinct_estimate(F.col("s"))).first()[0]
     assert abs(merged / 250_000 - 1) < 0.05
+
+
+def test_hot_incident_is_spread_by_value(spark):
+    """Very many uses and makes on one incident: combinations are hashed by value."""
+    rows = spark.range(20_000).selectExpr(
+        "if(id >= 0, 'hot', 'x') AS crash_record_id", "concat('u', id % 150) AS vehicle_use", "concat('m', id % 130) AS make",
+        "id % 7 = 0 AS fire_i", "id % 3 AS occupant_cnt", "cast(null AS string) AS hazmat_class",
+    )
+    found = vehicle_aggregate(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert any(
+        "crash_record_id" in x and "kind" in x and "value" in x
+        for x in plan.splitlines()
+        if "Exchange hashpartitioning" in x
+    )
+    row = found.select("num_people_involved", bags.as_list(F.col("vehicle_uses")).alias("uses")).first()
+    assert row["num_people_involved"] == sum(i % 3 for i in range(20_000))
+    assert Counter(row["uses"]) == Counter(f"u{i % 150}" for i in range(20_000))
