@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import quality_rules, url_filter
+from daybook.llm import mixing, quality_rules, queries, url_filter
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -144,5 +144,68 @@ FROM ruled JOIN binned USING (host, path)
 """
 
 
+def mixture() -> str:
+    weights, epochs = queries.TARGET_WEIGHTS, queries.EPOCHS
+    wanted = "CASE source " + " ".join(f"WHEN '{s}' THEN {w}::DOUBLE" for s, w in weights.items()) + " END"
+    whole = float(16**13)
+    return f"""
+WITH sizes AS (
+  SELECT source, sum(length(coalesce(text, '')))::BIGINT AS size, {wanted} AS wanted
+  FROM documents GROUP BY source
+), totals AS (
+  SELECT sum(size)::DOUBLE AS total, coalesce(sum(size) FILTER (wanted IS NULL), 0)::DOUBLE AS others,
+    coalesce(sum(wanted) FILTER (wanted IS NOT NULL AND size > 0), 0)::DOUBLE AS present FROM sizes
+), rates AS (
+  SELECT source, CASE WHEN size > 0 THEN {epochs}::DOUBLE * total * CASE
+      WHEN wanted IS NULL THEN (1.0::DOUBLE - present) * size / greatest(others, 1)
+      WHEN others = 0 AND present > 0 THEN wanted / present ELSE wanted END / size
+    ELSE {epochs}::DOUBLE END AS rate
+  FROM sizes, totals
+), steps AS (
+  SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 30)::BIGINT + 1)) AS k
+  FROM rates WHERE rate > 0
+), logs AS (
+  SELECT source, k, -rate + coalesce(sum(CASE WHEN k > 0 THEN ln(rate) - ln(k) ELSE 0 END)
+    OVER (PARTITION BY source ORDER BY k), 0) AS log FROM steps
+), upto AS (
+  SELECT source, list(p ORDER BY k) AS upto FROM (
+    SELECT source, k, sum(exp(log)) OVER (PARTITION BY source ORDER BY k) AS p FROM logs
+  ) GROUP BY source
+), drawn AS (
+  SELECT d.*, upto, concat_ws(':', '{mixing.SEED}', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, ''))) AS key
+  FROM documents d JOIN upto u ON d.source IS NOT DISTINCT FROM u.source
+), counted AS (
+  SELECT *, ('0x' || substr(md5(key), 1, 13))::BIGINT / {whole}::DOUBLE AS uniform FROM drawn
+), copies AS (
+  SELECT * EXCLUDE (upto, uniform),
+    unnest(range(1, len(list_filter(upto, lambda p: p <= uniform)) + 1)) AS copy
+  FROM counted
+)
+SELECT * EXCLUDE (key), ('0x' || substr(md5(key || ':' || copy), 1, 13))::BIGINT AS shuffle_key FROM copies
+"""
+
+
+def archives() -> str:
+    """Base32 of the digest: five hexadecimal digits make four letters."""
+    letter = """substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1), 1)"""
+    return f"""
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h
+  FROM pages
+), kept AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keeper FROM hashed)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: {letter}), '') AS payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id < keeper THEN keeper END AS refers_to
+FROM kept
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op4_url_filter": urls(), "op6_quality_rules": quality()}
+    return {
+        "op3_poisson_mixing": mixture(),
+        "op4_url_filter": urls(),
+        "op5_warc": archives(),
+        "op6_quality_rules": quality(),
+    }
