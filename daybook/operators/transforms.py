@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from daybook.functions.text import airbag_state, amount_estimate, amount_unreadable, yes_no
 from daybook.functions.times import DEFAULT_ZONE, is_morning
-from daybook.operators.conform import Schema, cast_columns, reject_counts, target_types
+from daybook.operators.conform import Schema, cast_columns, target_types
 
 log = logging.getLogger(__name__)
 
@@ -108,19 +108,3 @@ def counted_transform(
         seen, F.count(F.lit(1)).alias("rows"), *[n.alias(f"rejected.{c}") for c, n in counts.items()]
     )
     return watched.drop(*(f"{_RAW}{c}" for c in texts))
-
-
-def rejects(
-    name: str | None, rows: DataFrame, schema: Schema, zone: str = DEFAULT_ZONE
-) -> dict[str, Column]:
-    """Aggregates that count unreadable raw values of each column."""
-    if name is None:
-        return {}
-    flags = PARTICIPANT_FLAGS if name == "crashes_people" else {}
-    wanted = {c: t for c, t in target_types(schema).items() if c not in flags}
-    present = {c.lower() for c in rows.columns}
-    fields = [f for f in schema.fields if f.name.lower() in wanted and f.name.lower() in present]
-    counts = reject_counts(rows, type(schema)(fields), zone)
-    if name == "crashes" and "damage" in present:
-        counts["damage_estimate"] = F.count_if(amount_unreadable(F.col("damage")))
-    return counts

@@ -1,11 +1,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import types as T
 
 from daybook.functions.casts import type_named
 from daybook.operators.conform import align, cast_columns, conform, debug_frame, reject_counts
-from daybook.operators.transforms import rejects, transform
+from daybook.operators.transforms import counted_transform, transform
 from daybook.sources.schemas import TABLES
 
 NAMES = {
@@ -141,16 +142,45 @@ def test_reject_counts(spark):
     assert got.asDict() == {"n": 1, "t": 1}
 
 
+def counted(rows, name):
+    seen = Observation()
+    typed = counted_transform(name, rows, TABLES[name].schema, seen)
+    assert not any(c.startswith("__") for c in typed.columns)
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    typed.write.format("noop").mode("overwrite").save()
+    return {n.removeprefix("rejected."): c for n, c in seen.get.items() if c}, plan
+
+
 def test_unreadable_amounts_are_rejects(spark):
     rows = spark.createDataFrame([("OVER",), ("OVER $5",), ("UNKNOWN",), (None,)], "damage string")
-    counts = rejects("crashes", rows, TABLES["crashes"].schema)
-    assert rows.agg(counts["damage_estimate"].alias("n")).first()["n"] == 1
+    assert counted(rows, "crashes")[0] == {"rows": 4, "damage_estimate": 1}
 
 
 def test_unknown_airbag_text_is_no_reject(spark):
     rows = spark.createDataFrame([("NOT APPLICABLE", "x")], "airbag_deployed string, age string")
-    counts = rejects("crashes_people", rows, TABLES["crashes_people"].schema)
-    assert list(counts) == ["age"]
+    assert counted(rows, "crashes_people")[0] == {"rows": 1, "age": 1}
+
+
+def test_values_are_cast_once(spark):
+    rows = spark.createDataFrame([("k", "30"), ("l", "fast")], "crash_record_id string, age string")
+    rows = rows.repartition(2)
+    counts, plan = counted(rows, "crashes_people")
+    assert counts == {"rows": 2, "age": 1}
+    assert plan.count("try_cast") == 1 or plan.count("TRY") == 1 or plan.count("regexp_extract") == 1
+
+
+def test_align_under_any_setting(spark):
+    rows = spark.createDataFrame([(3_000_000_000,)], "n bigint")
+    schema = T.StructType.fromDDL("n int")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for setting in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", setting)
+            with pytest.raises(Exception, match="n: a value does not fit int"):
+                align(rows, schema).collect()
+            assert align(rows.selectExpr("n - 2999999990 AS n"), schema).first()["n"] == 10
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_debug_output_needs_the_switch(spark, capsys, monkeypatch):
