@@ -185,7 +185,8 @@ def judge(
         "score", (F.col("total") / (F.char_length("text") + 1)).cast(RATIO)
     )
     bin_of = F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.floor(F.col("score") * BINS).cast("int")))
-    scored = written(scored.select("__host", "__path", "n", "accepted", "held_out", "score", bin_of.alias("bin")), "scores")
+    held = ("__host", "__path", "n", "accepted", "held_out", "score")
+    scored = written(scored.select(*held, bin_of.alias("bin")), "scores")
     bins = (
         scored.filter("held_out AND accepted IS NOT NULL")
         .groupBy("bin")

@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import column, slices, utf8_texts, written
-from daybook.session import shared_folder
 
 FILE_BYTES = 128 << 20
 RANGE_BYTES = 16 << 20
@@ -273,7 +272,3 @@ def read(archives: DataFrame, range_bytes: int = RANGE_BYTES, payload: bool = Tr
         )
 
     return ranges.repartition(tasks).mapInArrow(run, RECORD_COLUMNS)
-
-
-def archive_folder(pages: DataFrame) -> str:
-    return shared_folder(pages.sparkSession, "warc")
