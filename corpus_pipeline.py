@@ -33,13 +33,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare_workers(spark)
-    kept = repeated_spans.without_repeats(docs, as_text=True)
-    changed = kept.withColumns({"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")})
-    return changed.select(*(f"`{c}`" for c in docs.columns))
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))
+    packed = docs.select(others.alias("others"), "text")
+    kept = repeated_spans.without_repeats(packed, as_text=True)
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")}
+    return kept.select(*(new.get(c, F.col("others")[c]).alias(c) for c in docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs, queries.TARGET_WEIGHTS, queries.EPOCHS)
+    mixed = mixing.mix(
+        docs, queries.TARGET_WEIGHTS, queries.EPOCHS, copy="__copy", place="__place"
+    )
     return mixed.select(*(f"`{c}`" for c in docs.columns))
 
 

@@ -11,8 +11,8 @@ Weights name some sources; the rest of the weight is shared by all others in
 proportion to their size. Weights of sources without text are left out and the
 others scaled up. Documents of a source without any text, which add none,
 have the mean rate ``epochs``. A null source is a source of its own; null text
-is empty. Repeated rows are drawn alike. All columns pass through; ``copy`` and
-``shuffle_key`` replace columns so named.
+is empty. Repeated rows are drawn alike. All columns pass through; the number of
+the copy and its place in the shuffle replace columns of their names.
 """
 
 from __future__ import annotations
@@ -91,9 +91,11 @@ def mix(
     ident: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    copy: str = "copy",
+    place: str = "shuffle_key",
 ) -> DataFrame:
     """``rows`` replicated to the target weights, in global hash order."""
-    kept = [c for c in rows.columns if c not in ("copy", "shuffle_key")]
+    kept = [c for c in rows.columns if c not in (copy, place)]
     size = F.char_length(F.coalesce(F.col(f"`{text}`"), F.lit(""))).cast("bigint")
     sizes = rows.groupBy(F.col(f"`{source}`").cast("string").alias("source")).agg(F.sum(size).alias("size"))
     rated = rates(written(sizes, "sizes"), weights, epochs)
@@ -111,11 +113,11 @@ def mix(
         "__count", F.size(F.filter("__upto", lambda p: p <= F.col("__uniform")))
     )
     copies = counted.filter("__count > 0").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__count").cast("bigint")))
+        copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__count").cast("bigint")))
     )
-    place = F.concat_ws(":", "__key", F.col("copy").cast("string"))
+    dealt = F.concat_ws(":", "__key", F.col(copy).cast("string"))
     return (
-        copies.withColumn("shuffle_key", _number(F.md5(place.cast("binary"))))
-        .select(*(f"`{c}`" for c in kept), "copy", "shuffle_key")
-        .orderBy("shuffle_key", f"`{ident}`", "copy")
+        copies.withColumn(place, _number(F.md5(dealt.cast("binary"))))
+        .select(*(f"`{c}`" for c in kept), copy, place)
+        .orderBy(place, f"`{ident}`", copy)
     )

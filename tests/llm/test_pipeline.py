@@ -165,3 +165,4 @@ def test_stages_pass_clashing_columns(spark, column):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, rows, "")
         assert out.columns == rows.columns, name
+        assert {r[column] for r in out.collect()} <= {"mine"}, name
