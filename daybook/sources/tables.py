@@ -20,9 +20,11 @@ def ensure_table(
 ) -> None:
     """Create the table from its declared schema unless the catalog has it.
 
-    With a ``location`` that already holds days, those are picked up.
+    With a ``location`` that already holds days, those are picked up. A table that
+    exists without the declaration to overwrite by partition is given it.
     """
     if spark.catalog.tableExists(table):
+        _declare_overwrite(spark, table)
         return
     log.info("creating table %s", table)
     columns = ", ".join(
@@ -41,6 +43,15 @@ def ensure_table(
         spark.catalog.recoverPartitions(table)
 
 
+def _declare_overwrite(spark: SparkSession, table: str) -> None:
+    """Without the option an overwrite of some days would delete all others."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    stored = described.filter("col_name = 'Storage Properties'").select("data_type").first()
+    if "partitionoverwritemode=dynamic" not in (stored[0].lower() if stored else ""):
+        log.info("declaring table %s to overwrite by partition", table)
+        spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')")
+
+
 def replace_day(rows: DataFrame, table: str, spec: TableSpec, day: dt.date) -> None:
     """Make ``rows`` the whole of one day; no rows means an empty day.
 

@@ -143,3 +143,20 @@ def test_emptied_days_leave_no_files(spark, tmp_path):
     ensure_table(spark, "emptied_two", SPEC, place)
     assert counts(spark, "emptied_two") == {THIRD: 24}
     assert spark.read.parquet(place).count() == 24
+
+
+@pytest.mark.parametrize("options", ["", " OPTIONS ('partitionOverwriteMode' = 'static')"])
+def test_tables_made_elsewhere_keep_their_other_days(spark, options):
+    """A table whose DDL does not declare overwriting by partition."""
+    name = f"t_elsewhere_{len(options)}"
+    spark.sql(
+        f"CREATE TABLE {name} (id string, crash_date timestamp, service_day date)"
+        f" USING parquet{options} PARTITIONED BY (service_day)"
+    )
+    for day in (FIRST, SECOND):
+        replace_day(hours(spark, day), name, SPEC, day)
+    ensure_table(spark, name, SPEC)
+    replace_days(dated(hours(spark, SECOND).limit(3)), name, SPEC, [SECOND])
+    assert counts(spark, name) == {FIRST: 24, SECOND: 3}
+    replace_days(dated(hours(spark, THIRD)), name, SPEC)
+    assert counts(spark, name) == {FIRST: 24, SECOND: 3, THIRD: 24}
