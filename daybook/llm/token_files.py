@@ -13,12 +13,14 @@ end id is written. Texts are split where the vocabulary's own pattern always
 splits, at spaces, line ends and between a letter and common punctuation, and
 A-Z are lower-cased as it does, so the ids are those of the whole text; the
 tokenizer gets the different words of a slice of texts, and workers remember a
-fixed number of them.
+fixed number of them. A text in which an added token of the vocabulary is
+spelled, in capitals or not, is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -50,7 +52,8 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = "|".join(map(re.escape, added))
         self.met = bytearray(_CELLS)
 
     def ids(self, words: list[str]) -> list[array]:
@@ -71,6 +74,21 @@ class Words(dict):
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's ids end."""
+        if not self.added:
+            return self.by_words(texts)
+        spelled = pa.compute.match_substring_regex(pa.compute.ascii_lower(texts), self.added)
+        rows = np.flatnonzero(spelled.to_numpy(zero_copy_only=False))
+        if not len(rows):
+            return self.by_words(texts)
+        ids, last = self.by_words(pa.compute.if_else(spelled, "", texts))
+        whole = self.tokenizer.encode_batch_fast(texts.take(rows).to_pylist(), add_special_tokens=False)
+        sizes = np.zeros(len(last), dtype=np.int64)
+        sizes[rows] = [len(e.ids) for e in whole]
+        values = np.concatenate([np.array(e.ids, dtype=np.int32) for e in whole])
+        return np.insert(ids, np.repeat(last, sizes), values), last + np.cumsum(sizes)
+
+    def by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts in which no added token is spelled."""
         lowered = pa.compute.ascii_lower(pa.compute.replace_substring(texts, "\n", " "))
         parted = pa.compute.replace_substring_regex(lowered, "([a-z])([.,;:!?|])", r"\1 \2")
         split = pa.compute.split_pattern(parted, " ")

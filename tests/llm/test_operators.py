@@ -484,6 +484,24 @@ def test_token_files(spark, table, docs, empty):
     assert token_files.read(spark, nothing).count() == token_files.starts(spark, nothing).count() == 0
 
 
+def test_token_files_with_added_tokens(spark):
+    """Texts that spell an added token get the ids of a tokenizer as it comes."""
+    from tokenizers import Tokenizer
+
+    prepare_workers(spark)
+    file = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(file)
+    texts = [
+        "hello <|endoftext|> world <|startoftext|>.", "plain, text", "", "<|endoftext|>",
+        "Upper<|ENDOFTEXT|>Case", "x<|startoftext|><|endoftext|>y\n.", "<|endoftext |>", None, "The End.",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    model = open(file, encoding="utf-8").read()
+    got = {r["doc_id"]: r["ids"] for r in token_files.encoded(rows, model, 2).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], text
+
+
 # --- language model ----------------------------------------------------------
 
 
