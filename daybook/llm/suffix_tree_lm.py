@@ -2,7 +2,7 @@
 
 A text is its words, A-Z lower-cased, and one end. The root is the add-one
 distribution over the training words and one unknown word. Below it stand
-contexts of one and of two words. A context is retained if the next-word
+contexts of one to ``DEPTH`` words. A context is retained if the next-word
 distribution seen after it diverges from that of the context without its first
 word (its suffix): the log-likelihood gained over the suffix must exceed
 ``DIVERGENCE`` nats for each word kept. A state gives the words kept after it
@@ -10,14 +10,15 @@ their counts, and the remaining mass, with a share for as many unseen words, to
 its suffix; every distribution sums to one. A text is scored by the longest
 retained suffix before each word.
 
-States tell apart the words with at least ``ALPHABET_SHARE`` of the tokens and
-hold all others as one symbol, which then emits a word in proportion to the root.
-Contexts are words or pairs with ``CONTEXT_SHARE`` of the tokens, and words are
-kept after a context from ``KEPT_SHARE`` on. Since shares add up to one, what
-tasks and driver hold is bounded for any input: ``1 / ALPHABET_SHARE`` symbols,
-``2 / CONTEXT_SHARE`` contexts and ``2 / KEPT_SHARE`` kept words. All counts are
-taken over all training texts and added up by shuffles that grow with them;
-words below ``COMMON_SHARE`` find their counts in a join.
+A word is kept after a context from ``KEPT`` occurrences on, whatever the size
+of the corpus; nothing else limits contexts before the divergence test. States
+are Spark tables of 64-bit gram hashes. A gram of k words stands for a word after
+a context of k - 1 and for a context of k, so a text's gain over the root is a
+sum of one value for each of its grams, found in a join. Grams of at least
+``COMMON_SHARE`` of the tokens, a bounded number, are found in a broadcast
+instead. A gram can only reach ``KEPT`` if both grams of one word less do, and
+only grams with a state count: both are asked of a bitmap of ``_CELL_BITS`` bits
+of the hash, which lets some through that the join then drops, and loses none.
 
 Null and empty texts consist of the end only. Without training texts every
 probability is 1. A null id is never held out.
@@ -25,6 +26,7 @@ probability is 1. A null id is never held out.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -38,17 +40,16 @@ from pyspark.sql import types as T
 
 from daybook.llm.common import column, slices, utf8_texts, written
 
-ALPHABET_SHARE = 1e-5
-CONTEXT_SHARE = 5e-5
-KEPT_SHARE = 1e-6
+KEPT = 2
+DEPTH = 3
 COMMON_SHARE = 5e-7
 DIVERGENCE = 4.0
-#: Words, and pairs of context and word, that a task counts at a time.
-WORDS_AT_ONCE, PAIRS_AT_ONCE = 1 << 18, 1 << 21
-END = b""
-#: Symbols: 0 is any word outside the alphabet, the last one the place before a text.
-OTHER = 0
+#: Words, and grams, that a task counts at a time.
+WORDS_AT_ONCE, PAIRS_AT_ONCE = 1 << 18, 1 << 22
+REMEMBERED = 1 << 18
+END, START = b"", b" "
 _BITS = 17
+_CELL_BITS = 28
 
 
 def held_out(ident: Column) -> Column:
@@ -85,7 +86,7 @@ def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class Contexts:
-    """Contexts of one depth: sorted keys with the mass left to the suffix, and
+    """Contexts of one depth in memory, for small models: sorted keys with the mass left to the suffix, and
     sorted keys of context and kept word with its own share."""
 
     keys: np.ndarray
@@ -122,78 +123,6 @@ class Tree:
     root: np.ndarray
     depths: tuple[Contexts, ...]
 
-    @property
-    def start(self) -> int:
-        return len(self.root)
-
-    def coded(self, texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of the texts, each after ``depth`` starts; where words stand."""
-        get, start = self.symbols.get, self.start
-        rows: list[int] = []
-        for words in texts:
-            rows += [start] * depth
-            rows += [get(w, OTHER) for w in words]
-        sizes = np.array([len(words) for words in texts])
-        first = np.cumsum(sizes + depth) - sizes
-        words = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        return np.array(rows, dtype=np.int64), words
-
-    def gains(self, texts: list[list[bytes]]) -> np.ndarray:
-        """For each text, log10 of the tree's probability over the root's."""
-        coded, words = self.coded(texts, len(self.depths))
-        symbol = coded[words]
-        root = self.root[symbol]
-        p, context = root, np.zeros(len(words), dtype=np.int64)
-        for depth, contexts in enumerate(self.depths, 1):
-            context = coded[words - depth] << (_BITS * (depth - 1)) | context
-            p = refined(p, contexts, context, symbol)
-        sizes = [len(t) for t in texts]
-        starts = np.cumsum([0, *sizes[:-1]])
-        return np.add.reduceat(np.log10(p / root), starts) if len(words) else np.zeros(0)
-
-
-def _pair_counts(texts: DataFrame, tree: Tree, depth: int, allowed: np.ndarray) -> DataFrame:
-    """``context, key, c``: how often each symbol follows an allowed context."""
-    spread = texts.sparkSession.sparkContext.broadcast((tree, allowed))
-
-    def batch(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys >> _BITS), pa.array(keys), pa.array(counts)], names=["context", "key", "c"]
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, contexts = spread.value
-        keys, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        for part in slices(batches, "text"):
-            split = [tokens(t) for t in utf8_texts(column(part, "text"))]
-            coded, words = model.coded(split, depth)
-            context = np.zeros(len(words), dtype=np.int64)
-            for back in range(depth, 0, -1):
-                context = context << _BITS | coded[words - back]
-            asked, _ = _found(contexts, context)
-            new, n = np.unique(context[asked] << _BITS | coded[words[asked]], return_counts=True)
-            keys, inverse = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            total = np.zeros(len(keys), dtype=np.int64)
-            total[inverse[: len(counts)]] = counts
-            np.add.at(total, inverse[len(counts) :], n)
-            counts = total
-            if len(keys) > PAIRS_AT_ONCE:
-                yield batch(keys, counts)
-                keys, counts = keys[:0], counts[:0]
-        if len(keys):
-            yield batch(keys, counts)
-
-    partial = texts.mapInArrow(run, "context bigint, key bigint, c bigint")
-    return written(partial.groupBy("context", "key").agg(F.sum("c").alias("c")), f"pairs-{depth}")
-
-
-def _columns(rows: DataFrame) -> list[np.ndarray]:
-    """A table of bounded size as arrays, sorted by its first column."""
-    table = rows.toArrow()
-    arrays = [table[name].to_numpy() for name in table.column_names]
-    order = np.argsort(arrays[0], kind="stable")
-    return [a[order] for a in arrays]
-
 
 def retained(
     tree: Tree, totals: list[np.ndarray], pairs: list[np.ndarray], divergence: float = DIVERGENCE
@@ -221,26 +150,150 @@ def retained(
     return Contexts(contexts[keep], left[keep], kept[keep[place]], share[keep[place]])
 
 
-def grown(texts: DataFrame, words: DataFrame, size: int, kinds: int, depth: int = 2) -> Tree:
-    """The tree of the training texts, whose words are counted in ``words``."""
-    frequent = words.filter(F.col("c") >= ALPHABET_SHARE * size).orderBy("word").toArrow()
-    names = frequent["word"].cast(pa.binary()).to_pylist()
-    own = (frequent["c"].to_numpy() + 1.0) / (size + kinds + 1)
-    # What the root leaves for all words outside the alphabet, the unknown one too.
-    root = np.append(max(1.0 - own.sum(), 1.0 / (size + kinds + 1)), own)
-    tree = Tree({w: i for i, w in enumerate(names, 1)}, root, ())
-    allowed = np.append(np.arange(len(root)), tree.start)
-    for d in range(1, depth + 1):
-        counts = _pair_counts(texts, tree, d, allowed)
-        totals = counts.groupBy("context").agg(F.sum("c").alias("n"))
-        totals = _columns(totals.filter(F.col("n") >= CONTEXT_SHARE * size))
-        pairs = _columns(counts.filter(F.col("c") >= KEPT_SHARE * size).select("key", "c"))
-        held, _ = _found(totals[0], pairs[0] >> _BITS)
-        # A longer context is a pair that has a context's share itself.
-        longer = pairs[0][pairs[1] >= CONTEXT_SHARE * size]
-        tree = Tree(tree.symbols, root, (*tree.depths, retained(tree, totals, [a[held] for a in pairs])))
-        allowed = np.sort(longer)
-    return tree
+class Hashes(dict):
+    """Word -> 64-bit hash; a fixed number is remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(self) < REMEMBERED:
+            self[word] = value
+        return value
+
+
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hash of a gram, from those of the gram without its last and first word."""
+    x = (left ^ (left >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + right
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25)
+    return x ^ (x >> np.uint64(32))
+
+
+def _grams(texts: list[list[bytes]], hashes: Hashes, depth: int) -> Iterator[tuple]:
+    """For 1 to ``depth`` + 1 words: the row of each gram, its hash, context and suffix.
+
+    The start of a text is a word of its own before it."""
+    rows = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
+    grams = np.array([hashes[w] for t in texts for w in (START, *t)], dtype=np.uint64)
+    yield rows, grams, None, None
+    for _ in range(depth):
+        same = rows[1:] == rows[: len(rows) - 1]
+        # Grams that cross from one text to the next are left out, so that the
+        # neighbours of what stays are still those of one text.
+        context, suffix = grams[:-1][same], grams[1:][same]
+        rows, grams = rows[1:][same], _joined(context, suffix)
+        yield rows, grams, context, suffix
+
+
+def _in_bitmap(bitmap: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    cell = grams >> np.uint64(64 - _CELL_BITS)
+    return (bitmap[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def bitmap(rows: DataFrame, gram: str) -> np.ndarray:
+    """Which leading bits occur among the hashes: 32 MB on the driver at most."""
+    cell = F.shiftrightunsigned(gram, 64 - _CELL_BITS)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{gram}`, {64 - _CELL_BITS}) & 63 AS int))")
+    found = rows.groupBy(F.shiftright(cell, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bits = np.zeros(1 << (_CELL_BITS - 6), dtype=np.uint64)
+    bits[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64))
+
+
+def _gram_counts(texts: DataFrame, order: int, below: np.ndarray) -> DataFrame:
+    """``gram, context, suffix, c`` of the grams that occur ``KEPT`` times."""
+    spread = texts.sparkSession.sparkContext.broadcast(below)
+
+    def batch(pairs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        columns = [_signed(np.ascontiguousarray(pairs[n])) for n in ("context", "suffix")]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(counts)], names=["context", "suffix", "c"])
+
+    def distinct(context: np.ndarray, suffix: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        by = np.lexsort((suffix, context))
+        context, suffix, c = context[by], suffix[by], c[by]
+        new = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (suffix[1:] != suffix[:-1])))
+        pairs = np.empty(len(new), dtype=[("context", np.uint64), ("suffix", np.uint64)])
+        pairs["context"], pairs["suffix"] = context[new], suffix[new]
+        return pairs, np.add.reduceat(c, new)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, bits = Hashes(), spread.value
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for part in slices(batches, "text"):
+            split = [tokens(t) for t in utf8_texts(column(part, "text"))]
+            *_, (_, _, context, suffix) = _grams(split, hashes, order - 1)
+            both = _in_bitmap(bits, context) & _in_bitmap(bits, suffix)
+            held.append((context[both], suffix[both]))
+            size += int(both.sum())
+            if size > PAIRS_AT_ONCE:
+                context, suffix = (np.concatenate(x) for x in zip(*held, strict=True))
+                yield batch(*distinct(context, suffix, np.ones(size, dtype=np.int64)))
+                held, size = [], 0
+        if size:
+            context, suffix = (np.concatenate(x) for x in zip(*held, strict=True))
+            yield batch(*distinct(context, suffix, np.ones(size, dtype=np.int64)))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            pair = [column(part, n).to_numpy().view(np.uint64) for n in ("context", "suffix")]
+            columns = [_signed(_joined(*pair)), *(column(part, n) for n in ("context", "suffix", "c"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["gram", "context", "suffix", "c"])
+
+    partial = texts.mapInArrow(run, "context bigint, suffix bigint, c bigint")
+    counts = partial.groupBy("context", "suffix").agg(F.sum("c").alias("c")).filter(F.col("c") >= KEPT)
+    counts = counts.mapInArrow(named, "gram bigint, context bigint, suffix bigint, c bigint")
+    return written(counts, f"grams-{order}")
+
+
+def _word_states(words: DataFrame, size: int, kinds: int) -> DataFrame:
+    """``gram, c, p`` of the single words and of the start of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for part in batches:
+            coded = np.array([hashes[w] for w in utf8_texts(column(part, "word"))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([_signed(coded), column(part, "c")], names=["gram", "c"])
+
+    start = words.filter(F.col("word") == "").select(F.lit(" ").alias("word"), "c")
+    rows = words.unionByName(start).filter(F.col("c") >= KEPT).mapInArrow(run, "gram bigint, c bigint")
+    return written(rows.withColumn("p", (F.col("c") + 1) / F.lit(float(size + kinds + 1))), "grams-1")
+
+
+def grown(texts: DataFrame, words: DataFrame, size: int, kinds: int, depth: int = DEPTH) -> DataFrame:
+    """``gram, c, value``: what each gram of a text adds to its gain in nats."""
+    below = _word_states(words, size, kinds)
+    values = None
+    for order in range(2, depth + 2):
+        grams = _gram_counts(texts, order, bitmap(below, "gram"))
+        seen = below.select(F.col("gram").alias("context"), F.col("c").alias("n"))
+        lower = below.select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
+        rows = written(grams.join(lower, "suffix").drop("suffix"), f"lower-{order}")
+        states = rows.groupBy("context").agg(F.count("*").alias("kinds"), F.sum("c").alias("kept"))
+        whole = F.col("n") + F.col("kinds")
+        states = states.join(seen, "context").withColumn("whole", whole).withColumn(
+            "left", (F.col("whole") - F.col("kept")) / F.col("whole")
+        )
+        p = F.col("c") / F.col("whole") + F.col("left") * F.col("lower")
+        inside = F.col("c") * (F.log(p) - F.log("lower"))
+        gains = rows.join(states, "context").groupBy("context").agg(F.sum(inside).alias("inside"))
+        gain = F.col("inside") + (F.col("n") - F.col("kept")) * F.log("left")
+        kept = states.join(gains, "context").filter(gain > DIVERGENCE * F.col("kinds"))
+        kept = written(kept.select("context", "n", "whole", "left"), f"contexts-{order}")
+        better = F.when(F.col("whole").isNotNull(), p)
+        rows = rows.join(kept, "context", "left").select(
+            "gram",
+            "c",
+            F.coalesce(better, "lower").alias("p"),
+            (F.log(better) - F.log("lower") - F.log("left")).alias("value"),
+        )
+        below = written(rows, f"states-{order}")
+        ours = below.filter("value IS NOT NULL").select("gram", "c", "value")
+        ours = ours.union(kept.select("context", "n", F.log("left")))
+        values = ours if values is None else values.union(ours)
+    return written(values.groupBy("gram").agg(F.max("c").alias("c"), F.sum("value").alias("value")), "values")
 
 
 def score(rows: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -251,35 +304,60 @@ def score(rows: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFra
     training = rows.filter(~held_out(F.col(f"`{ident}`"))).select(F.col(f"`{text}`").alias("text"))
     words = written(word_counts(training), "words")
     size, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    tree = grown(training, words, size, kinds)
+    values = grown(training, words, size, kinds)
+    often = values.filter(F.col("c") >= COMMON_SHARE * size).orderBy("gram").toArrow()
+    held = (often["gram"].to_numpy(), often["value"].to_numpy())
+    seldom = values.filter(F.col("c") < COMMON_SHARE * size)
     common = F.col("c") >= COMMON_SHARE * size
     table = words.filter(common).toArrow()
     logs = np.log10(table["c"].to_numpy() + 1.0).tolist()
     known = dict(zip(table["word"].cast(pa.binary()).to_pylist(), logs, strict=True))
-    model = rows.sparkSession.sparkContext.broadcast((tree, known))
+    model = rows.sparkSession.sparkContext.broadcast((held, bitmap(seldom, "gram"), known))
 
     packed = rows.select(
         F.struct(*(F.col(f"`{c}`") for c in rest)).alias("rest"), F.col(f"`{text}`").alias("text")
     )
     made = "n_tokens bigint, known bigint, logs double, gain double, rare array<struct<word:string,n:bigint>>"
+    made += ", grams array<struct<gram:bigint,m:bigint>>"
     schema = T.StructType([packed.schema["rest"], *T.StructType.fromDDL(made).fields])
     rare_type = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+    gram_type = pa.list_(pa.struct([("gram", pa.int64()), ("m", pa.int64())]))
     types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare_type)
+    names = ["rest", "n_tokens", "known", "logs", "gain", "rare", "grams"]
+
+    def found_grams(split: list[list[bytes]], hashes: Hashes) -> tuple[np.ndarray, pa.Array]:
+        """The gain of each text by common grams, and its others that may have a value."""
+        (keys, worth), bits, _ = model.value
+        gain, texts, others = np.zeros(len(split)), [], []
+        for rows, grams, _, _ in _grams(split, hashes, DEPTH):
+            known, at = _found(keys, grams.view(np.int64))
+            gain += np.bincount(rows[known], weights=worth[at[known]], minlength=len(split))
+            maybe = ~known & _in_bitmap(bits, grams)
+            texts.append(rows[maybe])
+            others.append(grams[maybe])
+        text, gram = np.concatenate(texts), np.concatenate(others)
+        by = np.lexsort((gram, text))
+        text, gram = text[by], gram[by]
+        new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (gram[1:] != gram[:-1]))[: len(text)])
+        pairs = pa.StructArray.from_arrays(
+            [_signed(gram[new]), pa.array(np.diff(np.append(new, len(text))))], fields=list(gram_type.value_type)
+        )
+        ends = np.searchsorted(text[new], np.arange(len(split) + 1))
+        return gain, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, logs = model.value
+        logs, hashes = model.value[2], Hashes()
         for part in slices(batches, "text"):
             split = [tokens(t) for t in utf8_texts(column(part, "text"))]
+            gains, grams = found_grams(split, hashes)
             found = []
-            for words, gain in zip(split, tree.gains(split).tolist(), strict=True):
+            for words, gain in zip(split, gains.tolist(), strict=True):
                 common = [logs[w] for w in words if w in logs]
                 rare = Counter(w for w in words if w not in logs)
                 listed = [{"word": w.decode(), "n": n} for w, n in rare.items()]
                 found.append((len(words), len(common), math.fsum(common), gain, listed))
             columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [column(part, "rest"), *columns], names=["rest", "n_tokens", "known", "logs", "gain", "rare"]
-            )
+            yield pa.RecordBatch.from_arrays([column(part, "rest"), *columns, grams], names=names)
 
     scored = packed.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
     scored = written(scored, "scored")
@@ -289,11 +367,19 @@ def score(rows: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFra
         .groupBy("row")
         .agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more_logs"))
     )
+    gains = (
+        scored.select("row", F.inline("grams"))
+        .join(seldom, "gram")
+        .groupBy("row")
+        .agg(F.sum(F.col("m") * F.col("value")).alias("more_gain"))
+    )
     per_token = math.log10(size + kinds + 1)
     logs_of = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
+    gain = F.col("gain") + F.coalesce("more_gain", F.lit(0.0))
     return (
-        scored.drop("rare")
+        scored.drop("rare", "grams")
         .join(answers, "row", "left")
+        .join(gains, "row", "left")
         .withColumn("base_score", logs_of - F.col("n_tokens") * per_token)
         .select(
             "rest.*",
@@ -301,7 +387,7 @@ def score(rows: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFra
             (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
             F.lit(size).cast("bigint").alias("train_tokens"),
             "base_score",
-            (F.col("base_score") + F.col("gain")).alias("score"),
+            (F.col("base_score") + gain / math.log(10)).alias("score"),
         )
         .withColumn("held_out", held_out(F.col(f"`{ident}`")))
     )

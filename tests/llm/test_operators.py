@@ -543,6 +543,64 @@ def test_language_model_learns_contexts(spark):
     assert all(r["score"] <= 0 for r in scored)
 
 
+def tree_scores(rows, held, depth):
+    """Scores of the same tree, grown in dictionaries."""
+    split = {i: [None, *raw(t).lower().split(), b""] for i, t in rows}
+    train = [w for i, w in split.items() if not held(i)]
+    counts = collections.Counter(w for words in train for w in words[1:])
+    total = sum(counts.values()) + len(counts) + 1
+    states = {}
+
+    def probability(context, word):
+        for n in range(len(context) + 1):
+            if (state := states.get(context[n:])) is not None:
+                left, share = state
+                lower = probability(context[n + 1 :], word)
+                return share.get(word, 0) + left * lower
+        return (counts[word] + 1) / total
+
+    for size in range(1, depth + 1):
+        after = collections.defaultdict(collections.Counter)
+        for words in train:
+            for i in range(size, len(words)):
+                after[tuple(words[i - size : i])][words[i]] += 1
+        new = {}
+        for context, seen in after.items():
+            n, kept = sum(seen.values()), {w: c for w, c in seen.items() if c >= 2}
+            share = {w: c / (n + len(kept)) for w, c in kept.items()}
+            left, gain = 1 - sum(share.values()), 0.0
+            for w, c in kept.items():
+                lower = probability(context[1:], w)
+                gain += c * math.log((share[w] + left * lower) / lower)
+            if n > sum(kept.values()):
+                gain += (n - sum(kept.values())) * math.log(left)
+            if kept and gain > 4.0 * len(kept):
+                new[context] = (left, share)
+        states |= new
+    return {
+        i: sum(math.log10(probability(tuple(w[max(0, k - depth) : k]), w[k])) for k in range(1, len(w)))
+        for i, w in split.items()
+    }
+
+
+@pytest.mark.parametrize("common", [5e-7, 0.02, 2.0])
+def test_language_model_against_dictionaries(spark, monkeypatch, common):
+    """Contexts of up to three words, kept however rare beside a large rest, and
+    found alike by broadcast and by join."""
+    monkeypatch.setattr(suffix_tree_lm, "COMMON_SHARE", common)
+    prepare_workers(spark)
+    draw = random.Random(3)
+    phrases = [f"{a} x y {b}" for a, b in zip("abcdef", "uvwrst", strict=True)]
+    rows = [(i, " ".join(draw.choice(phrases) for _ in range(3))) for i in range(60)]
+    rows += [(100 + i, prose(i, 900)) for i in range(60)] + [(200, None), (201, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in suffix_tree_lm.score(docs).collect()}
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    wanted = tree_scores(rows, held, 3)
+    assert got.keys() == wanted.keys()
+    assert all(abs(got[i] - wanted[i]) < 1e-6 * max(1, abs(wanted[i])) for i in got)
+
+
 def test_states_sum_to_one():
     """A state's distribution over all symbols is one whole."""
     draw = np.random.default_rng(2)
