@@ -133,8 +133,11 @@ def ingest_day(
     replace_day(typed, warehouse.table(dataset.name), spec, day)
     if dataset.name in CHILD_KEYS:
         keys = CHILD_KEYS[dataset.name]
-        written = warehouse.read(dataset.name, [day]).select(KEY).distinct()
-        replace_day(written, warehouse.table(keys), warehouse.ensure(keys), day)
+        if warehouse.spark.catalog.tableExists(warehouse.table(keys)):
+            written = warehouse.read(dataset.name, [day]).select(KEY).distinct()
+            replace_day(written, warehouse.table(keys), warehouse.ensure(keys), day)
+        else:  # the child table may hold days from before its keys were kept
+            _store_child_keys(warehouse, dataset.name)
     report = _report(seen)
     log.info("ingested %s for %s: %s", dataset.name, day, report)
     return report

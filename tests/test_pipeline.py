@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from daybook.functions.sketches import distinct_estimate
 from daybook.plans import pipeline, rollups
 from daybook.plans.days import DayBounds
 from daybook.plans.pipeline import Dataset, Stage, Warehouse
+from daybook.sources.schemas import CHILD_KEYS
 
 DAYS = [dt.date(2024, 4, day) for day in (19, 20, 21)]
 
@@ -332,3 +334,22 @@ def test_untransformed_dataset(spark, tmp_path):
     warehouse = Warehouse(spark, "plain_db", str(tmp_path / "wh"))
     assert pipeline.ingest_day(warehouse, root, DAYS[1], dataset, spec=spec).rows == 1
     assert tuple(spark.table("plain_db.plain").first()) == ("1", None, DAYS[1])
+
+
+def test_stored_children_without_key_tables_are_found(spark, tmp_path):
+    """A warehouse that holds days from before the key tables loses no child."""
+    warehouse, root = Warehouse(spark, "keyless", str(tmp_path / "wh")), str(tmp_path / "raw")
+    sources = raw_sources(spark, days=2)
+    early = spark.createDataFrame(
+        [("early", "c30", "2024-04-19T10:00:00.000", "30", "F", None)], sources["crashes_people"].schema
+    )
+    sources["crashes_people"] = sources["crashes_people"].unionByName(early)
+    pipeline.run_day(warehouse, sources, root, DayBounds(DAYS[0]))
+    for name in CHILD_KEYS.values():
+        spark.sql(f"DROP TABLE {warehouse.table(name)}")
+        shutil.rmtree(tmp_path / "wh" / name)
+    pipeline.run_day(warehouse, sources, root, DayBounds(DAYS[1]))
+    row = warehouse.read("crashes_people_summary").filter("crash_record_id = 'c30'").first()
+    assert row["list_of_gender"] == ["F", "M"]
+    keys = warehouse.read("crashes_people_keys")
+    assert {r[0] for r in keys.select("service_day").distinct().collect()} == set(DAYS[:2])
