@@ -61,11 +61,11 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = warc.write(_read(spark, folder, "pages"), shared_folder(spark, "warc"))
     found = warc.read(archives, payload=False)
     return found.select(
-        F.col("record_id").cast("bigint").alias("page_id"),
+        F.col("record_id").try_cast("bigint").alias("page_id"),
         "payload_bytes",
         "payload_digest",
         "record_type",
-        F.col("refers_to").cast("bigint").alias("refers_to"),
+        F.col("refers_to").try_cast("bigint").alias("refers_to"),
     )
 
 

@@ -20,6 +20,7 @@ from daybook.llm import (
     fingerprints,
     mixing,
     quality_rules,
+    queries,
     repeated_spans,
     simhash,
     suffix_array,
@@ -355,6 +356,16 @@ def test_warc_round_trip(spark, range_bytes):
     assert uris["50"] is None and uris["51"] == "u%0D%0AX: y" and uris["52"] == "http://é/"
 
 
+def test_warc_query_with_a_null_id(spark, tmp_path):
+    rows = [(1, "http://h/1", "one"), (None, "http://h/2", "two"), (None, "http://h/3", "one")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    got = queries.op5_warc(spark, str(tmp_path)).select("page_id", "record_type", "refers_to").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(
+        map(str, [(1, "response", None), (None, "response", None), (None, "revisit", 1)])
+    )
+
+
 def test_warc_of_no_pages(spark):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert warc.read(warc.write(pages, shared_folder(spark, "warc"))).count() == 0
