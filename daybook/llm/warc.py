@@ -2,8 +2,10 @@
 
 Each record is a gzip member of its own. A reading task owns the records that
 start inside its range: it looks for the gzip magic, takes a place for a record
-only if what it inflates to begins with a complete WARC header, and then goes on
-at the member's end, which may lie beyond the range.
+only if what it inflates to begins as a WARC header, and then goes on at the
+member's end, which may lie beyond the range. A record that begins so and cannot
+be read whole ends the job with its path and offset. Header names count alike in
+any capitals.
 
 Of records with equal payloads of at least ``min_revisit`` bytes the one with
 the largest id is a response and the others are revisits that name it. Rows that
@@ -151,6 +153,10 @@ def _fields(head: bytes) -> dict[bytes, bytes]:
     return {name.strip().lower(): value.strip() for name, _, value in lines}
 
 
+class DamagedRecord(ValueError):
+    """A place that begins as a WARC record and does not hold a whole one."""
+
+
 class Member:
     """A gzip member that is read from ``offset`` on, as far as asked for."""
 
@@ -175,15 +181,25 @@ class Member:
             if not b"WARC/1.".startswith(self.data[:7]) or not self.more():
                 return None
         head = bytes(self.data[:end])
-        return head if head.startswith(b"WARC/1.") and b"\r\nWARC-Type:" in head else None
+        return head if head.startswith(b"WARC/1.") and b"warc-type" in _fields(head) else None
 
     def block(self, length: int) -> bytes:
         while self.more():
             pass
         start = self.data.find(b"\r\n\r\n") + 4
+        if start + length > len(self.data):
+            raise ValueError(f"block of {len(self.data) - start} bytes, not {length}")
         return bytes(self.data[start : start + length])
 
 
+def _begins_record(file: pa.NativeFile, offset: int) -> bool:
+    """Whether the first bytes inflate to a WARC version, whatever follows them."""
+    try:
+        return zlib.decompressobj(31).decompress(file.read_at(_CHUNK, offset), 7) == b"WARC/1."
+    except zlib.error:
+        return False
+
+
 def records_in(file: pa.NativeFile, start: int, end: int) -> Iterator[tuple[int, bytes, bytes]]:
     """``offset, header, block`` of the records that start in ``start..end``."""
     at, held, base = start, b"", start
@@ -202,11 +218,14 @@ def records_in(file: pa.NativeFile, start: int, end: int) -> Iterator[tuple[int,
         if at >= end:
             return
         member = Member(file, at)
+        head = block = None
         try:
             head = member.header()
-            block = head and member.block(int(_fields(head)[b"content-length"]))
-        except (zlib.error, KeyError, ValueError):
-            head = None
+            if head is not None:
+                block = member.block(int(_fields(head)[b"content-length"]))
+        except (zlib.error, KeyError, ValueError) as error:
+            if _begins_record(file, at):
+                raise DamagedRecord(f"damaged record at {at}: {error!r}") from error
         if head is None:
             at += 1
             continue
@@ -234,13 +253,16 @@ def read(archives: DataFrame, range_bytes: int = RANGE_BYTES, payload: bool = Tr
                 store, place = pa.fs.FileSystem.from_uri(path)
                 with store.open_input_file(place) as file:
                     rows, held = [], 0
-                    for offset, head, block in records_in(file, start, start + range_bytes):
-                        row = parsed(head, block)
-                        rows.append((path, offset, *(row if payload else (*row[:-1], None))))
-                        held += len(block)
-                        if held > 4 << 20 or len(rows) >= 1000:
-                            yield as_batch(rows)
-                            rows, held = [], 0
+                    try:
+                        for offset, head, block in records_in(file, start, start + range_bytes):
+                            row = parsed(head, block)
+                            rows.append((path, offset, *(row if payload else (*row[:-1], None))))
+                            held += len(block)
+                            if held > 4 << 20 or len(rows) >= 1000:
+                                yield as_batch(rows)
+                                rows, held = [], 0
+                    except DamagedRecord as error:
+                        raise DamagedRecord(f"{path}: {error}") from error
                     yield as_batch(rows)
 
     def parsed(head: bytes, block: bytes) -> tuple:

@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import gzip
 import hashlib
 import math
 import random
@@ -366,6 +367,29 @@ def test_warc_query_with_a_null_id(spark, tmp_path):
     )
 
 
+def test_warc_damage_and_capitals(spark, tmp_path):
+    prepare_workers(spark)
+    schema = "path string, bytes bigint"
+    digest = hashlib.sha1(b"payload").hexdigest()
+    members = [warc.record(str(i), "x", b"payload", digest, None) for i in range(3)]
+
+    def found(data):
+        file = tmp_path / f"{zlib.crc32(data)}.warc.gz"
+        file.write_bytes(data)
+        rows = spark.createDataFrame([(f"file://{file}", len(data))], schema)
+        return [r["record_id"] for r in warc.read(rows).collect()]
+
+    again = lambda old, new: gzip.compress(gzip.decompress(members[1]).replace(old, new))
+    assert found(members[0] + again(b"WARC-Type:", b"warc-TYPE:") + members[2]) == ["0", "1", "2"]
+    for data in (
+        members[0] + members[1][:-30],
+        members[0] + members[1][:-8] + bytes(8) + members[2],
+        members[0] + again(b"Content-Length", b"Content-Size") + members[2],
+    ):
+        with pytest.raises(Exception, match=rf"warc.gz: damaged record at {len(members[0])}"):
+            found(data)
+
+
 def test_warc_of_no_pages(spark):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert warc.read(warc.write(pages, shared_folder(spark, "warc"))).count() == 0
