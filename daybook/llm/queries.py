@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,14 +11,17 @@ from pyspark.sql import functions as F
 
 from daybook.llm import (
     byte_bpe,
+    conversation_trie,
     fingerprints,
     mixing,
     quality_rules,
     repeated_spans,
+    sharding,
     simhash,
     suffix_tree_lm,
     token_files,
     url_filter,
+    vector_codes,
     warc,
 )
 from daybook.llm.common import written
@@ -29,6 +33,9 @@ EPOCHS = 1.0
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 WORD_FILE = "word_bpe_49k.json"
 END_OF_DOCUMENT = 2
+# A rebuilt conversation takes up to five turns of the first one of its hundred.
+FAMILY, MOST_TAKEN = 100, 5
+SHARDS = 8
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -123,6 +130,43 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    own = written(conversation_trie.sequences(turns), "conversations")
+    ident = F.col("conv_id")
+    taken = F.crc32(ident.cast("string").cast("binary")) % (MOST_TAKEN + 1)
+    rebuilt = conversation_trie.rebuilt(
+        own, ident - ident % FAMILY, taken.cast("int"), MOST_TAKEN
+    )
+    return conversation_trie.trie(rebuilt)
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _read(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    coded, books = vector_codes.compressed(rows)
+    listed = ",".join(str(x) for book in books for entry in book.tolist() for x in entry)
+    summed = vector_codes.with_group_error(written(coded, "codes"))
+    digest = F.lit(hashlib.sha256(listed.encode()).hexdigest()).alias("codebooks_sha256")
+    return summed.select("vec_id", "code", "error", "label_error", digest)
+
+
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    sizes = spark.read.parquet(f"{folder}/documents.parquet").select(
+        "doc_id", sharding.size_of("text").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    dealt = sharding.balanced(sizes, SHARDS)
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit(sharding.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = (
     op1_fingerprints,
     op2_simhash_dedup,
@@ -134,6 +178,9 @@ QUERIES = (
     op8_byte_bpe,
     op9_suffix_tree_lm,
     op10_token_files,
+    op11_conversation_trie,
+    op12_vector_codes,
+    op13_sharding,
 )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import mixing, quality_rules, queries, url_filter
+from daybook.llm import mixing, quality_rules, queries, sharding, url_filter, vector_codes
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -202,10 +202,130 @@ FROM kept
 """
 
 
+#: The remainder of each byte, and the CRC-32 of a text from its bytes.
+_CRC_STEPS = """list_transform(range(256), lambda x: list_reduce(range(8),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x))"""
+
+
+def _crc(text: str) -> str:
+    return f"""xor(list_reduce(
+    list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda p: ('0x' || p)::BIGINT),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"""
+
+
+def conversations() -> str:
+    family, most = queries.FAMILY, queries.MOST_TAKEN
+    return f"""
+WITH crc AS (SELECT {_CRC_STEPS} AS steps
+), told AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}}
+      ORDER BY turn NULLS FIRST, coalesce(role, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), asked AS (
+  SELECT conv_id, turns, conv_id - conv_id % {family} AS donor,
+    {_crc("conv_id::VARCHAR")} % {most + 1} AS h
+  FROM told, crc
+), rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(d.turns, [])[1:h], a.turns[h + 1:len(a.turns)]) AS path
+  FROM asked a LEFT JOIN told d ON d.conv_id = a.donor
+), members AS (
+  SELECT conv_id, path[1:d] AS node, d, d = len(path) AS ends
+  FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY node, d
+), children AS (
+  SELECT node[1:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+), whole AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+    CASE WHEN d > 0 THEN (n_convs - 1) * length(n.node[d].x) ELSE 0 END AS saved
+  FROM nodes n LEFT JOIN children c ON c.node = n.node
+), below AS (
+  SELECT above, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT saved, n_children, unnest(list_transform(range(0, d + 1), lambda i: node[1:i])) AS above
+    FROM whole)
+  GROUP BY above
+)
+SELECT w.conv_id, w.d::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n_convs::BIGINT AS n_convs,
+  w.n_children::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens,
+  w.ends_sha256
+FROM whole w JOIN below b ON b.above = w.node
+LEFT JOIN nodes p ON w.d > 0 AND p.node = w.node[1:w.d - 1]
+"""
+
+
+def codes() -> str:
+    parts, entries, scale = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.SCALE
+    steps = []
+    for n in range(vector_codes.ROUNDS + 1):
+        square = "list_sum(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+        steps.append(f"""near{n} AS MATERIALIZED (
+  SELECT row, a.p, a.x, arg_min(entry, (square, entry)) AS entry, min(square)::BIGINT AS square
+  FROM (SELECT row, a.p, a.x, entry, {square} AS square FROM cut a JOIN book{n} b ON a.p = b.p) a
+  GROUP BY ALL
+)""")
+        if n == vector_codes.ROUNDS:
+            break
+        steps.append(f"""book{n + 1} AS MATERIALIZED (
+  SELECT p, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM (
+    SELECT p, entry, i, sum(x[i]) AS s, count(*) AS n
+    FROM (SELECT p, entry, x, unnest(range(1, len(x) + 1)) AS i FROM near{n}) GROUP BY ALL)
+  GROUP BY p, entry
+  UNION ALL SELECT p, entry, x FROM book{n} b
+  WHERE NOT EXISTS (SELECT 1 FROM near{n} a WHERE a.p = b.p AND a.entry = b.entry)
+)""")
+    last = vector_codes.ROUNDS
+    return f"""
+WITH whole AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, vec_id, label,
+    list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+), cut AS MATERIALIZED (
+  SELECT row, vec_id, label, p, v[len(v) * p // {parts} + 1:len(v) * (p + 1) // {parts}] AS x
+  FROM (SELECT *, unnest(range(0, {parts})) AS p FROM whole)
+), book0 AS (SELECT p, row - 1 AS entry, x FROM cut WHERE row <= {entries}
+), {", ".join(steps)}, coded AS (
+  SELECT row, string_agg(printf('%02x', entry), '' ORDER BY p) AS code, sum(square)::BIGINT AS error
+  FROM near{last} GROUP BY row
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, entry)) AS codebooks_sha256
+  FROM book{last}
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN whole USING (row), digest
+"""
+
+
+def shards() -> str:
+    n = queries.SHARDS
+    return f"""
+WITH crc AS (SELECT {_CRC_STEPS} AS steps
+), sized AS (
+  SELECT doc_id, (coalesce(strlen(text), 0) + 1)::BIGINT AS size,
+    {_crc("coalesce(text, '')")}::BIGINT AS text_crc32
+  FROM documents, crc
+), placed AS (
+  SELECT *, (sum(size) OVER (ORDER BY doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING))::HUGEINT AS upto,
+    (sum(size) OVER ())::HUGEINT AS total FROM sized
+), cut AS (
+  SELECT *, least(((2 * upto - size) * {n}) // (2 * total), {n - 1})::INTEGER AS shard FROM placed
+)
+SELECT doc_id, size, text_crc32, '{sharding.LAW}' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST) - 1 AS slot,
+  NULL::INTEGER AS grown_shard
+FROM cut
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op3_poisson_mixing": mixture(),
         "op4_url_filter": urls(),
         "op5_warc": archives(),
         "op6_quality_rules": quality(),
+        "op11_conversation_trie": conversations(),
+        "op12_vector_codes": codes(),
+        "op13_sharding": shards(),
     }
