@@ -28,7 +28,14 @@ from daybook.sources.landing import (
     read_days,
 )
 from daybook.sources.schemas import CHILD_KEYS, SERVICE_DAY, TABLES, TableSpec
-from daybook.sources.tables import ensure_table, read_table, replace_all, replace_day, replace_days
+from daybook.sources.tables import (
+    ensure_table,
+    in_catalog,
+    read_table,
+    replace_all,
+    replace_day,
+    replace_days,
+)
 
 log = logging.getLogger(__name__)
 
@@ -71,6 +78,7 @@ class Warehouse:
         return f"{self.database}.{name}"
 
     def ensure(self, name: str, spec: TableSpec | None = None) -> TableSpec:
+        """The table's spec with the columns of the catalog, which has it from now on."""
         if spec is None and name not in TABLES:
             raise ValueError(f"no declared table named {name}")
         spec = spec or TABLES[name]
@@ -78,7 +86,7 @@ class Warehouse:
         place = f" LOCATION '{folder}'" if folder else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{place}")
         ensure_table(self.spark, self.table(name), spec, folder and f"{folder}/{name}")
-        return spec
+        return in_catalog(self.spark, self.table(name), spec)
 
     def read(self, name: str, days: Iterable[dt.date] | None = None) -> DataFrame:
         return read_table(self.spark, self.table(name), self.ensure(name), days)

@@ -1,10 +1,15 @@
-"""Partitioned Parquet tables of the catalog, replaced a day at a time."""
+"""Partitioned Parquet tables of the catalog, replaced a day at a time.
+
+The catalog's schema rules: rows are written by column name in the order and types the
+table has, columns it lacks are left out, and those the rows lack are null.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
 from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +48,16 @@ def ensure_table(
         spark.catalog.recoverPartitions(table)
 
 
+def in_catalog(spark: SparkSession, table: str, spec: TableSpec) -> TableSpec:
+    """``spec`` with the columns that the catalog's table has, whoever made it."""
+    fields = spark.table(table).schema.fields
+    days = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if [d.lower() for d in days] != [spec.day_column.lower()]:
+        raise ValueError(f"{table} is partitioned by {days or 'nothing'}, not by {spec.day_column}")
+    columns = [f for f in fields if f.name.lower() != spec.day_column.lower()]
+    return replace(spec, columns=", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns))
+
+
 def _declare_overwrite(spark: SparkSession, table: str) -> None:
     """Without the option an overwrite of some days would delete all others."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
@@ -57,7 +72,7 @@ def replace_day(rows: DataFrame, table: str, spec: TableSpec, day: dt.date) -> N
 
     Only that day's folder is touched, and a rerun gives the same table.
     """
-    aligned = align(rows, spec.schema)
+    aligned = align(rows, in_catalog(rows.sparkSession, table, spec).schema)
     rows.sparkSession.sql(
         f"INSERT OVERWRITE {table} PARTITION (`{spec.day_column}` = DATE'{day}')"
         " SELECT * FROM {aligned}",
@@ -87,7 +102,7 @@ def replace_days(
     overwrite by partition, so no session setting is touched.
     """
     spark, day_column = rows.sparkSession, F.col(spec.day_column)
-    aligned = align(rows, spec.stored_schema)
+    aligned = align(rows, in_catalog(spark, table, spec).stored_schema)
     named = sorted(set(days)) if days is not None else []
     if days is not None:
         stray = F.raise_error(
@@ -114,7 +129,8 @@ def replace_all(rows: DataFrame, table: str, spec: TableSpec) -> None:
     spark, day_column = rows.sparkSession, F.col(spec.day_column)
     stored = spark.table(table).select(day_column).distinct().collect()
     written = Observation()
-    gathered = align(rows, spec.stored_schema).hint("rebalance", day_column)
+    aligned = align(rows, in_catalog(spark, table, spec).stored_schema)
+    gathered = aligned.hint("rebalance", day_column)
     gathered.observe(written, F.collect_set(day_column).alias("days")).write.insertInto(
         table, overwrite=True
     )

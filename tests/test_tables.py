@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from daybook.functions.times import local_day
 from daybook.sources.schemas import TABLES, TableSpec
 from daybook.sources.tables import (
-    ensure_table, read_table, replace_all, replace_day, replace_days,
+    ensure_table, in_catalog, read_table, replace_all, replace_day, replace_days,
 )
 
 SPEC = TableSpec("t", "id string, crash_date timestamp", key_column="id")
@@ -160,3 +160,32 @@ def test_tables_made_elsewhere_keep_their_other_days(spark, options):
     assert counts(spark, name) == {FIRST: 24, SECOND: 3}
     replace_days(dated(hours(spark, THIRD)), name, SPEC)
     assert counts(spark, name) == {FIRST: 24, SECOND: 3, THIRD: 24}
+
+
+WRITERS = {
+    "replace_day": lambda rows, table, day: replace_day(rows, table, SPEC, day),
+    "replace_days": lambda rows, table, day: replace_days(rows.withColumn("service_day", F.lit(day)), table, SPEC, [day]),
+    "replace_all": lambda rows, table, day: replace_all(rows.withColumn("service_day", F.lit(day)), table, SPEC),
+}
+
+
+@pytest.mark.parametrize("writer", WRITERS)
+def test_tables_of_other_columns_are_written_by_name(spark, writer):
+    """Another order, one column more and one fewer than declared, another type."""
+    name = f"t_foreign_{writer}"
+    spark.sql(
+        f"CREATE TABLE {name} (note string, ID bigint, more struct<a:int,b:array<string>>, service_day date)"
+        " USING parquet PARTITIONED BY (service_day)"
+    )
+    spec = TableSpec("t", "id string, crash_date timestamp, note string", key_column="id")
+    rows = spark.createDataFrame([("7", "seven", dt.datetime(2024, 4, 19))], "id string, note string, crash_date timestamp")
+    ensure_table(spark, name, spec)
+    WRITERS[writer](rows, name, FIRST)
+    assert [tuple(r) for r in spark.table(name).collect()] == [("seven", 7, None, FIRST)]
+    assert in_catalog(spark, name, spec).schema.names == ["note", "ID", "more"]
+
+
+def test_table_of_other_partitions_is_refused(spark):
+    spark.sql("CREATE TABLE t_unpartitioned (id string, crash_date timestamp, service_day date) USING parquet")
+    with pytest.raises(ValueError, match="partitioned by nothing, not by service_day"):
+        replace_day(hours(spark, FIRST), "t_unpartitioned", SPEC, FIRST)

@@ -522,6 +522,51 @@ def day_replace_roundtrip(t: Tables) -> DataFrame:
     )
 
 
+_NEXT_DAY = DAY + dt.timedelta(days=1)
+
+
+@query(
+    f"""
+    SELECT strftime(ts, '%Y-%m-%d') AS service_day, count(*) AS events,
+           min(event_id::VARCHAR) AS least_id, sum(user_id)::DECIMAL(20, 0)::VARCHAR AS users,
+           count(DISTINCT event_type) AS kinds, 0::BIGINT AS sources
+    FROM events
+    WHERE NOT (ts::DATE = DATE '{DAY}' AND event_id % 2 = 1)
+      AND NOT (ts::DATE = DATE '{_NEXT_DAY}' AND event_id % 3 > 0)
+    GROUP BY service_day
+    """
+)
+def foreign_table_replace(t: Tables) -> DataFrame:
+    """A table made elsewhere, of other order and types, with a column more and several
+    fewer than declared: all of it, one day and some days of it are written by name."""
+    spec = TableSpec("typed_events", standins.EVENT_COLUMNS, time_column="ts", key_column=None)
+    warehouse = _warehouse(t, "foreign")
+    stored = warehouse.table("typed_events")
+    t.spark.sql(f"CREATE DATABASE {warehouse.database} LOCATION '{warehouse.location}'")
+    t.spark.sql(
+        f"CREATE TABLE {stored} (kind string, source string, user_id decimal(20,0), event_id string,"
+        " service_day date) USING parquet PARTITIONED BY (service_day)"
+    )
+    spec = warehouse.ensure("typed_events", spec)
+    raw = standins.raw_events(t)
+    typed = conform.conform(raw.withColumn("service_day", F.to_date(F.substring("TS", 1, 10))), spec.stored_schema)
+    event, day = F.col("event_id").cast("bigint"), F.col("service_day")
+    tables.replace_all(typed, stored, spec)
+    tables.replace_day(typed.filter((day == F.lit(DAY)) & (event % 2 == 0)), stored, spec, DAY)
+    tables.replace_days(typed.filter((day == F.lit(_NEXT_DAY)) & (event % 3 == 0)), stored, spec, [_NEXT_DAY])
+    return shown(
+        tables.read_table(t.spark, stored, spec)
+        .groupBy("service_day")
+        .agg(
+            F.count(F.lit(1)).alias("events"),
+            F.min("event_id").alias("least_id"),
+            F.sum("user_id").cast("decimal(20,0)").cast("string").alias("users"),
+            F.count_distinct("kind").alias("kinds"),
+            F.count("source").alias("sources"),
+        )
+    )
+
+
 def _raw_incidents(where: str = "") -> str:
     return f"""
     SELECT event_id::VARCHAR AS crash_record_id,
