@@ -13,7 +13,8 @@ end id is written. Texts are split where the vocabulary's own pattern always
 splits, at spaces, line ends and between a letter and common punctuation, and
 A-Z are lower-cased as it does, so the ids are those of the whole text; the
 tokenizer gets the different words of a slice of texts, and workers remember a
-fixed number of them. A text in which an added token of the vocabulary is
+fixed number of them. Words of lower-case Latin letters only are as the tokenizer's
+normalizer and pattern leave them, so they go to its merges at once. A text in which an added token of the vocabulary is
 spelled, in capitals or not, is encoded whole.
 """
 
@@ -43,6 +44,18 @@ PAGE_ROWS = 2000
 FILE_COLUMNS = "doc_id bigint, shard int, at bigint, n_tokens bigint, ids array<int>"
 
 
+#: Words that normalizing and splitting leave as they are.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter of the vocabulary for each byte: itself where it can be printed,
+    else the next one from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
 class Words(dict):
     """Word -> its ids."""
 
@@ -52,6 +65,9 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
+        self.merges = self.tokenizer.model
+        letters = _byte_letters()
+        self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
         added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = "|".join(map(re.escape, added))
         self.met = bytearray(_CELLS)
@@ -63,15 +79,27 @@ class Words(dict):
         known = list(map(self.get, words))
         places = [i for i, found in enumerate(known) if found is None]
         new = [words[i] for i in places]
-        encodings = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for i, word, encoding in zip(places, new, encodings, strict=True):
-            known[i] = coded = array("i", encoding.ids)
+        for i, word, ids in zip(places, new, self.merged(new), strict=True):
+            known[i] = coded = array("i", ids)
             cell = hash(word) % _CELLS
             if self.met[cell] and len(self) < REMEMBERED:
                 self[word] = coded
             self.met[cell] = 1
         return known
 
+    def merged(self, words: list[str]) -> list[list[int]]:
+        """The ids of words, by the merges alone where that is enough."""
+        plain = [_PLAIN.fullmatch(w) is not None for w in words]
+        others = [w for w, p in zip(words, plain, strict=True) if not p]
+        whole = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        tokenize, letters = self.merges.tokenize, self.letters
+        return [
+            [t.id for t in tokenize(w if w.isascii() else w.translate(letters))]
+            if p
+            else next(whole).ids
+            for w, p in zip(words, plain, strict=True)
+        ]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's ids end."""
         if not self.added:
@@ -93,7 +121,7 @@ class Words(dict):
         parted = pa.compute.replace_substring_regex(lowered, "([a-z])([.,;:!?|])", r"\1 \2")
         split = pa.compute.split_pattern(parted, " ")
         words = split.flatten().dictionary_encode()
-        known = self.ids(words.dictionary.to_pylist())
+        known = self.ids(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         values = np.frombuffer(b"".join(known), dtype=np.int32)
         ends = np.cumsum([0, *map(len, known)])
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
