@@ -89,22 +89,25 @@ def urls() -> str:
     )
     return rf"""
 WITH rest AS (
-  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0
-    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS x FROM pages
+  SELECT page_id, coalesce(url, '') AS url, CASE WHEN strpos(coalesce(url, ''), '://') > 0
+    THEN substr(url, strpos(url, '://') + 3) END AS x FROM pages
 ), cut AS (
-  SELECT page_id, regexp_extract(x, '^[^/?#]*') AS h, x FROM rest
+  SELECT page_id, url, regexp_extract(coalesce(x, ''), '^[^/?#]*') AS h, x FROM rest
 ), parts AS (
   SELECT page_id, translate(h, '{upper}', '{upper.lower()}') AS host,
-    regexp_extract(substr(x, length(h) + 1), '^[^?#]*') AS path FROM cut
+    regexp_extract(substr(coalesce(x, ''), length(h) + 1), '^[^?#]*') AS path,
+    CASE WHEN x IS NULL THEN url
+      ELSE translate(h, '{upper}', '{upper.lower()}') || substr(x, length(h) + 1) END AS t
+  FROM cut
 ), ruled AS (SELECT *, {rule} AS rule FROM parts
 ), texts AS (
-  SELECT host, path, host || path AS t, rule IN ({allowed}) AS accepted, count(*) AS n,
-    md5(host || path)[1] IN ('0', '1', '2', '3') AS held_out
+  SELECT host, path, t, rule IN ({allowed}) AS accepted, count(*) AS n,
+    md5(t)[1] IN ('0', '1', '2', '3') AS held_out
   FROM ruled GROUP BY ALL
 ), chars AS (
   SELECT *, regexp_extract_all({pads} || t || chr(3), '(?s).') AS cs FROM texts
 ), grams AS (
-  SELECT host, path, n, accepted, held_out,
+  SELECT host, path, t, n, accepted, held_out,
     unnest(list_transform(range(1, len(cs) - {order - 1}), lambda i: array_to_string(cs[i:i + {order}], ''))) AS gram
   FROM chars
 ), counts AS (
@@ -122,8 +125,8 @@ WITH rest AS (
 ){level}, ratios AS (
   SELECT gram, CAST(ln(pa) - ln(pr) AS DECIMAL(18,9)) AS ratio FROM p{order}
 ), scored AS (
-  SELECT host, path, n, accepted, held_out, sum(ratio)::DOUBLE / (length(host || path) + 1) AS score
-  FROM grams JOIN ratios USING (gram) GROUP BY host, path, n, accepted, held_out
+  SELECT host, path, t, n, accepted, held_out, sum(ratio)::DOUBLE / (length(t) + 1) AS score
+  FROM grams JOIN ratios USING (gram) GROUP BY host, path, t, n, accepted, held_out
 ), binned AS (
   SELECT *, greatest(-{largest}, least({largest}, floor(score * {bins})::INT)) AS bin FROM scored
 ), cuts AS (
@@ -140,7 +143,7 @@ WITH rest AS (
 SELECT page_id, host, path, rule, round(score, 6) AS score,
   CASE WHEN rule IN ({allowed}) THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
     WHEN bin >= (SELECT c FROM best) THEN 'allow' ELSE 'block' END AS verdict
-FROM ruled JOIN binned USING (host, path)
+FROM ruled JOIN binned USING (host, path, t)
 """
 
 

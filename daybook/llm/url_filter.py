@@ -14,8 +14,10 @@ once; a URL's characters meet the model as 5-grams, by joins that AQE may split.
 Log ratios are decimals, so sums do not depend on the order of rows. The driver
 sees the counts per score bin, some 1,000 rows for any input.
 
-Null URLs and URLs without ``://`` have empty host and path and are scored as
-the empty text. Without labelled URLs every score is 0 and everything is allowed.
+A URL is scored whole from its host on, query string and fragment included. One
+without ``://`` has empty host and path, so no rule fits it, and is scored by its
+own text; a null URL is scored as the empty text. Without labelled URLs every score is
+0 and everything is allowed. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from daybook.llm.common import written
 
 ORDER = 4
 ALPHABET = 256
+#: Parts of the grams that share one of the shortest contexts.
+SALTS = 32
 #: Score bins per unit, and the largest bin on either side.
 BINS, LARGEST = 100, 500
 START, END = "\x02", "\x03"
@@ -42,14 +46,18 @@ RULES = {
 }
 
 
-def host_and_path(url: Column) -> tuple[Column, Column]:
-    """The host, A-Z lower-cased, and the path; both empty without ``://``."""
+def parts_of(url: Column) -> tuple[Column, Column, Column]:
+    """The host, A-Z lower-cased, the path, and the text that is scored: all from the
+    host on. Without ``://`` host and path are empty and the text is the URL."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    url = F.coalesce(url, F.lit(""))
     found = F.locate("://", url)
     rest = F.when(found > 0, F.substring(url, found + 3, F.char_length(url))).otherwise("")
     host = F.regexp_extract(rest, r"(?s)\A[^/?#]*", 0)
-    path = F.regexp_extract(F.substring(rest, F.char_length(host) + 1, F.char_length(rest)), r"(?s)\A[^?#]*", 0)
-    return F.coalesce(F.translate(host, upper, upper.lower()), F.lit("")), F.coalesce(path, F.lit(""))
+    after = F.substring(rest, F.char_length(host) + 1, F.char_length(rest))
+    lowered = F.translate(host, upper, upper.lower())
+    text = F.when(found > 0, F.concat(lowered, after)).otherwise(url)
+    return lowered, F.regexp_extract(after, r"(?s)\A[^?#]*", 0), text
 
 
 def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
@@ -107,8 +115,21 @@ def model(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def ratios(grams: DataFrame, suffixes: DataFrame, contexts: DataFrame) -> DataFrame:
-    """``gram, ratio``: the log-likelihood difference of each gram's last character."""
-    seen = _suffixes(grams).join(suffixes, "s", "left").join(contexts, "context", "left")
+    """``gram, ratio``: the log-likelihood difference of each gram's last character.
+
+    Every gram asks for the empty context, and many for those of one character: they
+    are few rows, so each has copies that share the asking."""
+    short, salts = F.col("k") <= 1, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = F.when(short, F.pmod(F.xxhash64("gram"), F.lit(SALTS))).otherwise(0).cast("int")
+    asked = _suffixes(grams).withColumn("salt", salt)
+
+    def copied(rows: DataFrame, few: Column) -> DataFrame:
+        more = rows.filter(few).withColumn("salt", salts)
+        return more.unionByName(rows.filter(~few).withColumn("salt", F.lit(0)))
+
+    suffixes = copied(suffixes, F.char_length("s") <= 2)
+    contexts = copied(contexts, F.char_length("context") <= 1)
+    seen = asked.join(suffixes, ["s", "salt"], "left").join(contexts, ["context", "salt"], "left")
     levels = seen.groupBy("gram").agg(
         F.array_sort(F.collect_list(F.struct("k", "a", "na", "ta", "r", "nr", "tr"))).alias("levels")
     )
@@ -158,22 +179,23 @@ def judge(
     added = ("host", "path", "rule", "score", "verdict")
     kept = [c for c in pages.columns if c not in added]
     value = F.col(f"`{url}`")
-    host, path = host_and_path(value)
+    host, path, scored_text = parts_of(value)
+    whole = ["__host", "__path", "__text"]
     parts = pages.select(
-        *(f"`{c}`" for c in kept), host.alias("__host"), path.alias("__path")
+        *(f"`{c}`" for c in kept),
+        *(c.alias(n) for c, n in zip((host, path, scored_text), whole, strict=True)),
     )
     decided = rule_of(F.col("__host"), F.col("__path"), rules)
     allowed = decided.isin([r for r, v in rules.items() if v == "allow"])
-    texts = parts.groupBy("__host", "__path").agg(F.count("*").alias("n"))
+    texts = parts.groupBy(*whole).agg(F.count("*").alias("n"))
     texts = texts.select(
         F.monotonically_increasing_id().alias("id"),
-        "__host",
-        "__path",
-        F.concat("__host", "__path").alias("text"),
+        *whole,
+        F.col("__text").alias("text"),
         "n",
         allowed.alias("accepted"),
         # The first hexadecimal digit of a hash: a quarter is held out.
-        F.md5(F.concat("__host", "__path").cast("binary")).substr(1, 1).isin(list("0123")).alias("held_out"),
+        F.md5(F.col("__text").cast("binary")).substr(1, 1).isin(list("0123")).alias("held_out"),
     )
     texts = written(texts, "urls")
     labelled = texts.filter("accepted IS NOT NULL")
@@ -185,7 +207,7 @@ def judge(
         "score", (F.col("total") / (F.char_length("text") + 1)).cast(RATIO)
     )
     bin_of = F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.floor(F.col("score") * BINS).cast("int")))
-    held = ("__host", "__path", "n", "accepted", "held_out", "score")
+    held = (*whole, "n", "accepted", "held_out", "score")
     scored = written(scored.select(*held, bin_of.alias("bin")), "scores")
     bins = (
         scored.filter("held_out AND accepted IS NOT NULL")
@@ -197,11 +219,11 @@ def judge(
         .collect()
     )  # at most 2 * LARGEST + 1 rows
     cut = threshold([tuple(b) for b in bins])
-    judged = scored.select("__host", "__path", F.round("score", 6).cast("double").alias("score"), "bin")
+    judged = scored.select(*whole, F.round("score", 6).cast("double").alias("score"), "bin")
     by_rule = F.coalesce(*(F.when(F.col("rule") == r, F.lit(v)) for r, v in rules.items()), F.lit(None).cast("string"))
     by_model = F.when(F.col("bin") >= cut, "allow").otherwise("block")
     return (
-        parts.join(judged, ["__host", "__path"])
+        parts.join(judged, whole)
         .withColumn("rule", decided)
         .select(
             *(f"`{c}`" for c in kept),

@@ -307,6 +307,24 @@ def test_url_model_tells_classes_apart(spark):
     assert right >= 95
 
 
+def test_url_model_reads_the_whole_url(spark):
+    """Query string, fragment and URLs without a scheme reach the model."""
+    draw = random.Random(6)
+    rows, n = [], 0
+    for place in ("http://shop.{z}/?q={w}", "http://shop.{z}/#{w}"):
+        for i in range(400):
+            word = "".join(draw.choice("bets" if i % 2 else "news") for _ in range(12))
+            rows.append((n := n + 1, place.format(z="net/es" if i % 2 else "com", w=word)))
+    asked = [(f"http://x.org/?q={w}", w) for w in ("betsbetsbets", "newsnewsnews")]
+    asked += [(f"http://x.org/#{w}", w) for w in ("tebstebstebs", "wensenswenws")]
+    asked += [(w, w) for w in ("stebstebsteb", "wnewnsewnsew")]
+    pages = spark.createDataFrame(rows + [(9000 + i, u) for i, (u, _) in enumerate(asked)], "page_id bigint, url string")
+    judged = {r["url"]: r for r in url_filter.judge(pages).filter("page_id >= 9000").collect()}
+    for url, word in asked:
+        assert judged[url]["rule"] is None
+        assert judged[url]["verdict"] == ("block" if "b" in word else "allow"), url
+
+
 def test_url_threshold():
     assert url_filter.threshold([]) == 0
     assert url_filter.threshold([(5, 10, 0)]) == 0
