@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import json
 import logging
-from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,17 +19,23 @@ from daybook.operators.conform import align, debug_frame
 from daybook.operators.transforms import TRANSFORMS, counted_transform, transform
 from daybook.plans import rollups
 from daybook.plans.days import DayBounds, publish_parameters
+from daybook.plans.ledger import Entry, Ledger, checksum
+from daybook.sources import day_index
+from daybook.sources.checksums import checksum_of
 from daybook.sources.landing import (
     ROWS_PER_FILE,
     Landed,
+    day_identity,
     extract_day,
     land_day,
     land_days,
     read_day,
     read_days,
 )
-from daybook.sources.schemas import CHILD_KEYS, SERVICE_DAY, TABLES, TableSpec
+from daybook.sources.manifest import digest
+from daybook.sources.schemas import CHILD_DAYS, LEDGER, SERVICE_DAY, TABLES, TableSpec
 from daybook.sources.tables import (
+    day_files,
     ensure_table,
     in_catalog,
     read_table,
@@ -39,6 +46,9 @@ from daybook.sources.tables import (
 
 log = logging.getLogger(__name__)
 
+#: Part of every step's inputs; another number has all of them run again.
+RULES = "1"
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -73,12 +83,15 @@ class Warehouse:
     spark: SparkSession
     database: str = "default"
     location: str | None = None
+    _specs: dict[str, TableSpec] = field(default_factory=dict, compare=False, repr=False)
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
 
     def ensure(self, name: str, spec: TableSpec | None = None) -> TableSpec:
         """The table's spec with the columns of the catalog, which has it from now on."""
+        if name in self._specs and self.has(name):
+            return self._specs[name]
         if spec is None and name not in TABLES:
             raise ValueError(f"no declared table named {name}")
         spec = spec or TABLES[name]
@@ -86,11 +99,23 @@ class Warehouse:
         place = f" LOCATION '{folder}'" if folder else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{place}")
         ensure_table(self.spark, self.table(name), spec, folder and f"{folder}/{name}")
-        return in_catalog(self.spark, self.table(name), spec)
+        self._specs[name] = in_catalog(self.spark, self.table(name), spec)
+        return self._specs[name]
 
     def read(self, name: str, days: Iterable[dt.date] | None = None) -> DataFrame:
         return read_table(self.spark, self.table(name), self.ensure(name), days)
 
+    def has(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(self.table(name))
+
+    def files(self, name: str, days: Iterable[dt.date]) -> str:
+        """Tells what is stored of the days from what any other write leaves."""
+        return digest(day_files(self.spark, self.table(name), self.ensure(name), days))
+
+    def ledger(self) -> Ledger:
+        self.ensure(LEDGER)
+        return Ledger(self.spark, self.table(LEDGER))
+
 
 def land_datasets(
     sources: Mapping[str, DataFrame],
@@ -108,7 +133,7 @@ def land_datasets(
             sources[dataset.name], dataset.time_column, day, columns, closed_end
         )
         counts[f"num_recs_{dataset.name}"] = land_day(
-            rows, f"{root.rstrip('/')}/{dataset.name}", day, rows_per_file
+            rows, f"{root.rstrip('/')}/{dataset.name}", day, rows_per_file, dataset.time_column
         )
     return counts
 
@@ -119,6 +144,97 @@ class IngestReport:
     rejects: dict[str, int] = field(default_factory=dict)
 
 
+@contextmanager
+def _changing(warehouse: Warehouse, ledger: Ledger, names: Iterable[str], day: dt.date) -> Iterator[None]:
+    """While a day's incidents or children change, all runs are told that it may hold
+    children of theirs; a run that dies on the way leaves it so."""
+    names = set(names)
+    indexes = [
+        (child, index)
+        for child, index in CHILD_DAYS.items()
+        if (child in names or ("crashes" in names and warehouse.has(child))) and ledger.entry(index)
+    ]
+    for _, index in indexes:
+        unknown = day_index.unknown_day(warehouse.read(index))
+        replace_day(unknown, warehouse.table(index), warehouse.ensure(index), day)
+    yield
+    for child, index in indexes:
+        cells = day_index.strays(warehouse.read(child, [day]), warehouse.read("crashes", [day]), KEY, SERVICE_DAY)
+        replace_day(cells, warehouse.table(index), warehouse.ensure(index), day)
+
+
+def _complete_index(warehouse: Warehouse, ledger: Ledger, child: str) -> None:
+    """Fill the index of all days stored, unless its entry says that it is."""
+    index = CHILD_DAYS[child]
+    if ledger.entry(index) is None:
+        cells = day_index.strays(warehouse.read(child), warehouse.read("crashes"), KEY, SERVICE_DAY)
+        replace_all(cells, warehouse.table(index), warehouse.ensure(index))
+        ledger.done([Entry(index)])
+
+
+@dataclass(frozen=True)
+class _Ingest:
+    """One dataset's day to ingest: what it is made of, and the report if that is proven."""
+
+    dataset: Dataset
+    spec: TableSpec
+    folder: str
+    inputs: str
+    report: IngestReport | None
+
+
+def _to_ingest(
+    warehouse: Warehouse, ledger: Ledger, root: str, day: dt.date, dataset: Dataset, zone: str, spec: TableSpec | None
+) -> _Ingest:
+    spec = warehouse.ensure(dataset.name, spec)
+    folder = f"{root.rstrip('/')}/{dataset.name}"
+    landed = day_identity(warehouse.spark, folder, day)
+    inputs = checksum(
+        RULES, landed, spec.columns, zone, dataset.transform or "", dataset.raw_columns or ""
+    )
+    report = None
+    if ledger.proven(dataset.name, day, inputs, warehouse.files(dataset.name, [day])):
+        report = IngestReport(**json.loads(ledger.entry(dataset.name, day).report))
+    return _Ingest(dataset, spec, folder, inputs, report)
+
+
+def _ingested(
+    warehouse: Warehouse, day: dt.date, job: _Ingest, zone: str
+) -> tuple[IngestReport, Entry]:
+    name, spec = job.dataset.name, job.spec
+    raw = read_day(warehouse.spark, job.folder, day, job.dataset.raw_schema)
+    seen, stored = Observation(), Observation()
+    debug_frame(transform(job.dataset.transform, raw, spec.schema, zone), name)
+    typed = counted_transform(job.dataset.transform, raw, spec.schema, seen, zone)
+    replace_day(typed, warehouse.table(name), spec, day, stored)
+    report = _report(seen)
+    log.info("ingested %s for %s: %s", name, day, report)
+    files = warehouse.files(name, [day])
+    return report, Entry(name, job.inputs, checksum_of(stored), files, json.dumps(asdict(report)))
+
+
+def _ingest_all(
+    warehouse: Warehouse,
+    root: str,
+    day: dt.date,
+    datasets: Iterable[Dataset],
+    zone: str,
+    spec: TableSpec | None = None,
+) -> dict[str, IngestReport]:
+    ledger, reports = warehouse.ledger(), {}
+    jobs = [_to_ingest(warehouse, ledger, root, day, d, zone, spec) for d in datasets]
+    open_jobs = [job for job in jobs if job.report is None]
+    reports = {job.dataset.name: job.report for job in jobs}
+    if open_jobs:
+        entries = []
+        with _changing(warehouse, ledger, [job.dataset.name for job in open_jobs], day):
+            for job in open_jobs:
+                reports[job.dataset.name], entry = _ingested(warehouse, day, job, zone)
+                entries.append(entry)
+        ledger.done(entries, day)
+    return reports
+
+
 def ingest_day(
     warehouse: Warehouse,
     root: str,
@@ -130,25 +246,10 @@ def ingest_day(
     """Type one landed day and make it that day of the dataset's table.
 
     Rows and unreadable values are counted while the day is written. Debug output
-    comes from a frame of its own, so it does not count.
+    comes from a frame of its own, so it does not count. A day whose rows are proven
+    to be those landed is left as it is.
     """
-    spec = warehouse.ensure(dataset.name, spec)
-    folder = f"{root.rstrip('/')}/{dataset.name}"
-    raw = read_day(warehouse.spark, folder, day, dataset.raw_schema)
-    seen = Observation()
-    debug_frame(transform(dataset.transform, raw, spec.schema, zone), dataset.name)
-    typed = counted_transform(dataset.transform, raw, spec.schema, seen, zone)
-    replace_day(typed, warehouse.table(dataset.name), spec, day)
-    if dataset.name in CHILD_KEYS:
-        keys = CHILD_KEYS[dataset.name]
-        if warehouse.spark.catalog.tableExists(warehouse.table(keys)):
-            written = warehouse.read(dataset.name, [day]).select(KEY).distinct()
-            replace_day(written, warehouse.table(keys), warehouse.ensure(keys), day)
-        else:  # the child table may hold days from before its keys were kept
-            _store_child_keys(warehouse, dataset.name)
-    report = _report(seen)
-    log.info("ingested %s for %s: %s", dataset.name, day, report)
-    return report
+    return _ingest_all(warehouse, root, day, [dataset], zone, spec)[dataset.name]
 
 
 def _report(seen: Observation) -> IngestReport:
@@ -157,13 +258,6 @@ def _report(seen: Observation) -> IngestReport:
     return IngestReport(counts["rows"], rejected)
 
 
-def _store_child_keys(warehouse: Warehouse, name: str) -> None:
-    """All days of the table that says which days hold an incident's children."""
-    keys = CHILD_KEYS[name]
-    rows = warehouse.read(name).select(KEY, SERVICE_DAY).distinct()
-    replace_all(rows, warehouse.table(keys), warehouse.ensure(keys))
-
-
 def ingest_days(
     warehouse: Warehouse,
     root: str,
@@ -172,6 +266,9 @@ def ingest_days(
     spec: TableSpec | None = None,
 ) -> IngestReport:
     """Type every landed day in one job and replace those days of the table."""
+    if dataset.name == "crashes" or dataset.name in CHILD_DAYS:
+        changed = CHILD_DAYS.values() if dataset.name == "crashes" else [CHILD_DAYS[dataset.name]]
+        warehouse.ledger().forget(changed)
     spec = warehouse.ensure(dataset.name, spec)
     raw = read_days(warehouse.spark, f"{root.rstrip('/')}/{dataset.name}", dataset.raw_schema)
     seen = Observation()
@@ -179,8 +276,6 @@ def ingest_days(
     typed = counted_transform(dataset.transform, gathered, spec.schema, seen, zone)
     dated = typed.withColumn(spec.day_column, F.make_date("year", "month", "day"))
     replace_days(dated, warehouse.table(dataset.name), spec, gathered=True)
-    if dataset.name in CHILD_KEYS:
-        _store_child_keys(warehouse, dataset.name)
     return _report(seen)
 
 
@@ -208,11 +303,13 @@ def ingest_datasets(
     zone: str = DEFAULT_ZONE,
 ) -> dict[str, IngestReport]:
     """Every dataset in turn; the first failure ends the run."""
-    return {d.name: ingest_day(warehouse, root, day, d, zone) for d in datasets}
+    return _ingest_all(warehouse, root, day, datasets, zone)
 
 
-Build = Callable[[Warehouse, DayBounds], DataFrame]
+Build = Callable[..., DataFrame]
 Days = Callable[[DayBounds], list[dt.date]]
+#: The days of each table that a stage reads.
+Reads = dict[str, list[dt.date]]
 
 
 @dataclass(frozen=True)
@@ -222,14 +319,23 @@ class Stage:
     ``days`` names the days of the target the run replaces: rows of other days
     are an error, and days without rows become empty. Without it the days
     present in the result are replaced.
+
+    ``reads`` names all that the function reads, which it then gets as its third
+    argument; a rerun leaves the stage out while those days hold the same rows.
     """
 
     name: str
     build: Build | None = None
     sql: str | None = None
     days: Days | None = None
-
-    def result(self, warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
+    reads: Callable[[Warehouse, DayBounds, Ledger], Reads] | None = None
+
+    def result(
+        self, warehouse: Warehouse, bounds: DayBounds, reads: Reads | None = None
+    ) -> DataFrame:
+        if self.build is not None and self.reads is not None:
+            reads = reads or self.reads(warehouse, bounds, warehouse.ledger())
+            return self.build(warehouse, bounds, reads)
         if self.build is not None:
             return self.build(warehouse, bounds)
         args = {**bounds.sql_args(), "database": warehouse.database}
@@ -248,40 +354,55 @@ def _around(first: dt.date, last: dt.date, margin: int) -> list[dt.date]:
 def daily_stages() -> tuple[Stage, ...]:
     """The three rollups for a day's run.
 
-    People and vehicles of the day's incidents may be stored on any day. The keys
-    kept beside their tables tell which days hold some, and only those are read.
+    People and vehicles of the day's incidents may be stored on any day. Those of other
+    days are indexed beside their tables, and only the days named there are read.
     """
 
-    def children(warehouse: Warehouse, name: str, incidents: DataFrame) -> DataFrame:
-        keys = CHILD_KEYS[name]
-        if not warehouse.spark.catalog.tableExists(warehouse.table(keys)):
-            _store_child_keys(warehouse, name)
-        found = warehouse.read(keys).join(incidents.select(KEY), KEY, "left_semi")
-        held = found.select(SERVICE_DAY).distinct().collect()  # one row per stored day at most
-        return warehouse.read(name, [r[0] for r in held])
+    def with_children(
+        warehouse: Warehouse, ledger: Ledger, name: str, incidents: DataFrame, day: dt.date
+    ) -> list[dt.date]:
+        _complete_index(warehouse, ledger, name)
+        index = warehouse.read(CHILD_DAYS[name])
+        return sorted({day, *day_index.named_days(index, incidents, KEY, SERVICE_DAY)})
 
-    def people(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
+    def incidents_of(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
         stored = warehouse.read("crashes", [bounds.day])
-        incidents = stored.filter(bounds.contains(F.col("crash_date")))
-        found = children(warehouse, "crashes_people", incidents)
-        return rollups.people_summary(incidents, found, narrow=True)
+        return stored.filter(bounds.contains(F.col("crash_date")))
+
+    def people_reads(warehouse: Warehouse, bounds: DayBounds, ledger: Ledger) -> Reads:
+        incidents = incidents_of(warehouse, bounds)
+        named = with_children(warehouse, ledger, "crashes_people", incidents, bounds.day)
+        return {"crashes": [bounds.day], "crashes_people": named}
+
+    def people(warehouse: Warehouse, bounds: DayBounds, reads: Reads) -> DataFrame:
+        found = warehouse.read("crashes_people", reads["crashes_people"])
+        return rollups.people_summary(incidents_of(warehouse, bounds), found, narrow=True)
 
-    def vehicles(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
+    def vehicles_reads(warehouse: Warehouse, bounds: DayBounds, ledger: Ledger) -> Reads:
+        summary = warehouse.read("crashes_people_summary", [bounds.day])
+        named = with_children(warehouse, ledger, "crashes_vehicles", summary, bounds.day)
+        return {"crashes_people_summary": [bounds.day], "crashes_vehicles": named}
+
+    def vehicles(warehouse: Warehouse, bounds: DayBounds, reads: Reads) -> DataFrame:
         summary = warehouse.read("crashes_people_summary", [bounds.day]).drop(SERVICE_DAY)
-        found = children(warehouse, "crashes_vehicles", summary)
+        found = warehouse.read("crashes_vehicles", reads["crashes_vehicles"])
         return rollups.vehicle_summary(summary, found, narrow=True)
 
-    def cube(warehouse: Warehouse, bounds: DayBounds) -> DataFrame:
-        """The UTC days the run touches, whole: they reach into neighbouring local days."""
+    def cube_reads(warehouse: Warehouse, bounds: DayBounds, ledger: Ledger) -> Reads:
+        """The UTC days the run touches reach into neighbouring local days."""
         touched = bounds.utc_days()
-        nearby = _around(touched[0], touched[-1], 1)
-        summary = warehouse.read("crashes_people_vehicle_summary", nearby)
+        return {"crashes_people_vehicle_summary": _around(touched[0], touched[-1], 1)}
+
+    def cube(warehouse: Warehouse, bounds: DayBounds, reads: Reads) -> DataFrame:
+        """The UTC days the run touches, whole."""
+        name, touched = "crashes_people_vehicle_summary", bounds.utc_days()
+        summary = warehouse.read(name, reads[name])
         return rollups.cube(summary.filter(F.to_date("crash_date").isin(touched)))
 
     return (
-        Stage("crashes_people_summary", people, days=_service_day),
-        Stage("crashes_people_vehicle_summary", vehicles, days=_service_day),
-        Stage("crashes_cube", cube, days=DayBounds.utc_days),
+        Stage("crashes_people_summary", people, days=_service_day, reads=people_reads),
+        Stage("crashes_people_vehicle_summary", vehicles, days=_service_day, reads=vehicles_reads),
+        Stage("crashes_cube", cube, days=DayBounds.utc_days, reads=cube_reads),
     )
 
 
@@ -321,21 +442,59 @@ def _with_day(rows: DataFrame, spec: TableSpec, zone: str) -> DataFrame:
     return rows.withColumn(spec.day_column, local_day(F.col(spec.time_column), zone))
 
 
+def _stage_inputs(
+    warehouse: Warehouse, ledger: Ledger, stage: Stage, spec: TableSpec, bounds: DayBounds, reads: Reads
+) -> str:
+    """Of the rules, and of the rows of every day that the stage reads."""
+    ledger.read(day for days in reads.values() for day in days)
+    read = [
+        f"{name} {day} {ledger.content(name, day, warehouse.files(name, [day]))}"
+        for name, days in sorted(reads.items())
+        for day in days
+    ]
+    return checksum(RULES, spec.columns, repr(bounds), *read)
+
+
 def run_stages(
     warehouse: Warehouse, bounds: DayBounds, stages: Iterable[Stage] = STAGES
 ) -> None:
     """Run the stages in order; each one may read what earlier ones wrote."""
     publish_parameters(warehouse.spark, bounds)
-    for stage in stages:
-        spec = warehouse.ensure(stage.name)
-        table = warehouse.table(stage.name)
-        rows = stage.result(warehouse, bounds)
-        debug_frame(rows, stage.name)
-        days = stage.days(bounds) if stage.days else None
-        if stage.build and spec.day_column == SERVICE_DAY and days == [bounds.day]:
-            replace_day(align(rows, spec.schema), table, spec, bounds.day)
-        else:
-            replace_days(_with_day(rows, spec, bounds.zone), table, spec, days)
+    ledger = warehouse.ledger()
+    entries: list[Entry] = []
+    try:
+        for stage in stages:
+            entries += _run_stage(warehouse, ledger, bounds, stage)
+    finally:  # what was finished before a failure is not run again
+        if entries:
+            ledger.done(entries, bounds.day)
+
+
+def _run_stage(
+    warehouse: Warehouse, ledger: Ledger, bounds: DayBounds, stage: Stage
+) -> list[Entry]:
+    """The entry of a stage that says what it reads, unless it was proven already."""
+    spec = warehouse.ensure(stage.name)
+    table = warehouse.table(stage.name)
+    days = stage.days(bounds) if stage.days else None
+    reads = stage.reads(warehouse, bounds, ledger) if stage.reads and days else None
+    inputs = ""
+    if reads is not None:
+        inputs = _stage_inputs(warehouse, ledger, stage, spec, bounds, reads)
+        if ledger.proven(stage.name, bounds.day, inputs, warehouse.files(stage.name, days)):
+            log.info("%s for %s is of the same rows", stage.name, bounds.day)
+            return []
+    rows, seen = stage.result(warehouse, bounds, reads), Observation()
+    debug_frame(rows, stage.name)
+    if stage.build and spec.day_column == SERVICE_DAY and days == [bounds.day]:
+        replace_day(align(rows, spec.schema), table, spec, bounds.day, seen)
+    else:
+        replace_days(_with_day(rows, spec, bounds.zone), table, spec, days, seen=seen)
+    if reads is None:
+        return []
+    entry = Entry(stage.name, inputs, checksum_of(seen), warehouse.files(stage.name, days))
+    ledger.note(entry, bounds.day)
+    return [entry]
 
 
 def run_day(
@@ -362,8 +521,6 @@ def rebuild(warehouse: Warehouse, zone: str = DEFAULT_ZONE) -> None:
         replace_all(_with_day(rows, spec, zone), warehouse.table(name), spec)
 
     dated = warehouse.read("crashes").filter(F.col("crash_date").isNotNull())
-    for name in CHILD_KEYS:
-        _store_child_keys(warehouse, name)
     people = warehouse.read("crashes_people")
     store(rollups.people_summary(dated, people), "crashes_people_summary")
     summary = warehouse.read("crashes_people_summary").drop(SERVICE_DAY)

@@ -1,14 +1,18 @@
-"""Land one local day of a source as dated Parquet, and read it back."""
+"""Land local days of a source as dated Parquet with a manifest, and read them back."""
 
 from __future__ import annotations
 
 import datetime as dt
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.sources import manifest
+from daybook.sources.checksums import checksum_of, watched
+
 # Rows per landed file unless the caller says otherwise. A source's page size
 # (some thousands) would make far too many files of a large day.
 ROWS_PER_FILE = 1_000_000
@@ -52,22 +56,47 @@ def extract_day(
 
 
 def land_day(
-    rows: DataFrame, root: str, day: dt.date, rows_per_file: int = ROWS_PER_FILE
+    rows: DataFrame,
+    root: str,
+    day: dt.date,
+    rows_per_file: int = ROWS_PER_FILE,
+    time_column: str | None = None,
 ) -> int:
     """Write a day's extract in place of an earlier one; the number of rows.
 
-    An empty extract leaves an empty day behind. The count is taken as the
-    rows are written, so the source is read once.
+    An empty extract leaves an empty day behind. Count and checksum are taken as the
+    rows are written, so the source is read once. The manifest follows the files; it
+    has their range of times if the time column is named.
     """
-    written = Observation()
+    written, path = Observation(), dated_path(root, day)
+    time = F.col(f"`{time_column}`").cast("string") if time_column else F.lit(None).cast("string")
     (
-        rows.observe(written, F.count(F.lit(1)).alias("rows"))
+        watched(rows, written, F.min(time).alias("first"), F.max(time).alias("last"))
         .write.mode("overwrite")
         .option("maxRecordsPerFile", rows_per_file)
         .option("compression", "snappy")
-        .parquet(dated_path(root, day))
+        .parquet(path)
     )
-    return written.get["rows"]
+    seen = written.get
+    whole = (seen["rows"], seen["first"], seen["last"])
+    manifest.write_day(
+        rows.sparkSession, root, path, rows.schema, time_column, checksum_of(written), whole
+    )
+    return seen["rows"]
+
+
+def day_identity(spark: SparkSession, root: str, day: dt.date) -> str:
+    """Equal for equal rows of a landed day, where its manifest knows their checksum,
+    and else for the same files only."""
+    path = dated_path(root, day)
+    names = {os.path.basename(f) for f in manifest.files_below(spark, path)}
+    kept = manifest.read(spark, root, path)
+    known = {r["file"]: r["content"] for r in kept.collect()} if kept is not None else {}
+    contents = set(known.values())
+    if names and known.keys() == names and len(contents) == 1 and None not in contents:
+        columns = manifest.merged_columns(spark, sorted(names), kept).simpleString()
+        return f"{contents.pop()} {columns}"
+    return f"files {manifest.digest(names)}"
 
 
 @dataclass(frozen=True)
@@ -98,7 +127,7 @@ def land_days(
         parts = {p: F.element_at(F.split(held, "-"), i) for i, p in enumerate(_PARTS, 1)}
     else:
         parts = {p: F.date_format(value, _PART_PATTERNS[p]) for p in _PARTS}
-    dated = rows.withColumns(parts)
+    dated, schema = rows.withColumns(parts), rows.schema
     seen, left = Observation(), Observation()
     (
         dated.filter(F.col("year").isNull())
@@ -111,7 +140,9 @@ def land_days(
     (
         dated.filter(F.col("year").isNotNull())
         .hint("rebalance", *_PARTS)
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
+        .observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.struct(*_PARTS)).alias("days")
+        )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
@@ -119,6 +150,9 @@ def land_days(
         .partitionBy(*_PARTS)
         .parquet(root)
     )
+    days = [tuple(d) for d in seen.get["days"] or []]  # one for each day landed
+    if days:
+        manifest.write_days(rows.sparkSession, root, days, schema, time_column)
     return Landed(seen.get["rows"], left.get["rows"])
 
 
@@ -127,14 +161,46 @@ def read_day(
 ) -> DataFrame:
     """One landed day; only its folder is listed.
 
-    Files of a day may differ in columns. A declared ``schema`` avoids opening
-    every footer to merge them.
+    Files of a day may differ in columns. Those of the manifest are merged without
+    opening a file; a declared ``schema`` stands instead of them.
     """
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
-    return reader.parquet(dated_path(root, day))
+    path = dated_path(root, day)
+    if schema is None:
+        files = manifest.files_below(spark, path)
+        schema = manifest.merged_columns(spark, files, manifest.read(spark, root, path))
+    return spark.read.schema(schema).parquet(path)
+
+
+def _dated(schema: T.StructType) -> T.StructType:
+    parts = [T.StructField(p, T.IntegerType()) for p in _PARTS]
+    return T.StructType([*schema.fields, *parts])
 
 
 def read_days(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
     """All landed days, with partition columns ``year``, ``month`` and ``day``."""
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
-    return reader.parquet(root)
+    if schema is None:
+        files = manifest.files_below(spark, root)
+        schema = manifest.merged_columns(spark, files, manifest.read(spark, root))
+    return spark.read.schema(_dated(schema)).parquet(root)
+
+
+def read_range(spark: SparkSession, root: str, time_column: str, start: str, end: str) -> DataFrame:
+    """Rows of all landed days whose time text is from ``start`` on and before ``end``.
+
+    Files are chosen by the range of times in the manifest before any is opened, so
+    rows that a source delivered late are found on whatever day they were landed.
+    Files without a known range are read.
+    """
+    files = manifest.files_below(spark, root)
+    kept = manifest.read(spark, root)
+    schema = _dated(manifest.merged_columns(spark, files, kept))
+    without = (F.col("rows") == 0) | (F.col("last") < start) | (F.col("first") >= end)
+    left_out = set()
+    if kept is not None:  # a job may give files of several days one name
+        place = F.format_string("year=%04d/month=%02d/day=%02d/%s", *_PARTS, "file")
+        left_out = {r[0] for r in kept.filter(without).select(place).collect()}
+    chosen = [f for f in files if "/".join(f.split("/")[-4:]) not in left_out]
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", root).parquet(*chosen)
+    return rows.filter((F.col(time_column) >= start) & (F.col(time_column) < end))

@@ -7,19 +7,25 @@ from functools import cached_property
 
 from pyspark.sql import types as T
 
+from daybook.sources.day_index import CELL_COLUMNS
+
 SERVICE_DAY = "service_day"
 CUBE_DAY = "crash_day"
 
 
 @dataclass(frozen=True)
 class TableSpec:
-    """``columns`` is DDL without the day column, which Spark keeps last."""
+    """``columns`` is DDL without the day column, which Spark keeps last.
+
+    ``stored`` says that they are those of the catalog's table, not only declared.
+    """
 
     name: str
     columns: str
     day_column: str = SERVICE_DAY
     time_column: str | None = "crash_date"
     key_column: str | None = "crash_record_id"
+    stored: bool = False
 
     @cached_property
     def schema(self) -> T.StructType:
@@ -115,10 +121,12 @@ CUBE_COLUMNS = """
     hazmat_involved boolean, total_people_involved bigint, crashes_set_sketch binary
 """
 
-# Which days hold the children of an incident: kept beside each child table, so
-# that a day's run reads only those days of it.
-CHILD_KEYS = {"crashes_people": "crashes_people_keys", "crashes_vehicles": "crashes_vehicles_keys"}
-CHILD_KEY_COLUMNS = "crash_record_id string"
+# Which days hold the children of incidents of other days: kept beside each child
+# table, so that a day's run reads only those days of it.
+CHILD_DAYS = {"crashes_people": "crashes_people_days", "crashes_vehicles": "crashes_vehicles_days"}
+# What has been finished, of which inputs, by day.
+LEDGER = "run_ledger"
+LEDGER_COLUMNS = "step string, inputs string, output string, files string, report string"
 
 TABLES: dict[str, TableSpec] = {
     spec.name: spec
@@ -128,7 +136,11 @@ TABLES: dict[str, TableSpec] = {
         TableSpec("crashes_vehicles", CRASHES_VEHICLES_COLUMNS),
         TableSpec("crashes_people_summary", PEOPLE_SUMMARY_COLUMNS),
         TableSpec("crashes_people_vehicle_summary", VEHICLE_SUMMARY_COLUMNS),
-        *(TableSpec(name, CHILD_KEY_COLUMNS, time_column=None) for name in CHILD_KEYS.values()),
+        *(
+            TableSpec(name, CELL_COLUMNS, time_column=None, key_column=None)
+            for name in CHILD_DAYS.values()
+        ),
+        TableSpec(LEDGER, LEDGER_COLUMNS, time_column=None, key_column="step"),
         TableSpec(
             "crashes_cube", CUBE_COLUMNS, day_column=CUBE_DAY, time_column=None, key_column=None
         ),

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.conform import align
+from daybook.sources.checksums import watched
 from daybook.sources.schemas import TableSpec
 
 log = logging.getLogger(__name__)
@@ -50,12 +51,17 @@ def ensure_table(
 
 def in_catalog(spark: SparkSession, table: str, spec: TableSpec) -> TableSpec:
     """``spec`` with the columns that the catalog's table has, whoever made it."""
-    fields = spark.table(table).schema.fields
-    days = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if spec.stored:
+        return spec
+    rows = spark.sql(f"DESCRIBE TABLE {table}").collect()
+    names = [r["col_name"] for r in rows]
+    start = names.index("# Partition Information") + 2 if "# Partition Information" in names else len(names)
+    days = [n for n in names[start:] if n]
     if [d.lower() for d in days] != [spec.day_column.lower()]:
         raise ValueError(f"{table} is partitioned by {days or 'nothing'}, not by {spec.day_column}")
-    columns = [f for f in fields if f.name.lower() != spec.day_column.lower()]
-    return replace(spec, columns=", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns))
+    fields = [f for f in spark.table(table).schema.fields if f.name.lower() != spec.day_column.lower()]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    return replace(spec, columns=columns, stored=True)
 
 
 def _declare_overwrite(spark: SparkSession, table: str) -> None:
@@ -67,12 +73,17 @@ def _declare_overwrite(spark: SparkSession, table: str) -> None:
         spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')")
 
 
-def replace_day(rows: DataFrame, table: str, spec: TableSpec, day: dt.date) -> None:
+def replace_day(
+    rows: DataFrame, table: str, spec: TableSpec, day: dt.date, seen: Observation | None = None
+) -> None:
     """Make ``rows`` the whole of one day; no rows means an empty day.
 
-    Only that day's folder is touched, and a rerun gives the same table.
+    Only that day's folder is touched, and a rerun gives the same table. ``seen`` gets
+    the checksum of what is written.
     """
     aligned = align(rows, in_catalog(rows.sparkSession, table, spec).schema)
+    if seen is not None:
+        aligned = watched(aligned, seen)
     rows.sparkSession.sql(
         f"INSERT OVERWRITE {table} PARTITION (`{spec.day_column}` = DATE'{day}')"
         " SELECT * FROM {aligned}",
@@ -91,10 +102,12 @@ def replace_days(
     spec: TableSpec,
     days: Iterable[dt.date] | None = None,
     gathered: bool = False,
+    seen: Observation | None = None,
 ) -> None:
     """Replace the days present in ``rows``, which carry the day column.
 
-    ``gathered`` says that a day's rows already stand in few tasks.
+    ``gathered`` says that a day's rows already stand in few tasks; ``seen`` gets the
+    checksum of what is written.
 
     With ``days`` named, a row of any other day is an error that leaves the
     table as it was, and named days without rows are emptied. New days go in
@@ -120,6 +133,8 @@ def replace_days(
         held = held.observe(
             written, *[F.count_if(day_column == F.lit(d)).alias(d.isoformat()) for d in named]
         )
+    if seen is not None:
+        held = watched(held, seen)
     held.write.insertInto(table, overwrite=True)
     _empty(spark, table, spec, [day for day in named if not written.get[day.isoformat()]])
 
@@ -138,6 +153,14 @@ def replace_all(rows: DataFrame, table: str, spec: TableSpec) -> None:
     _empty(spark, table, spec, sorted(r[0] for r in stored if r[0] and r[0] not in new))
 
 
+def day_files(
+    spark: SparkSession, table: str, spec: TableSpec, days: Iterable[dt.date]
+) -> list[str]:
+    """The files of some days as the catalog has them now; nothing is opened."""
+    spark.catalog.refreshTable(table)
+    return sorted(read_table(spark, table, spec, days).inputFiles())
+
+
 def read_table(
     spark: SparkSession, table: str, spec: TableSpec, days: Iterable[dt.date] | None = None
 ) -> DataFrame:

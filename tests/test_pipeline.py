@@ -9,7 +9,7 @@ from daybook.functions.sketches import distinct_estimate
 from daybook.plans import pipeline, rollups
 from daybook.plans.days import DayBounds
 from daybook.plans.pipeline import Dataset, Stage, Warehouse
-from daybook.sources.schemas import CHILD_KEYS
+from daybook.sources.schemas import CHILD_DAYS, LEDGER
 
 DAYS = [dt.date(2024, 4, day) for day in (19, 20, 21)]
 
@@ -136,9 +136,9 @@ def test_late_children_are_found_and_the_scan_is_pruned(spark, tmp_path):
     vehicles = pipeline.STAGES[1].result(warehouse, bounds)
     plan = vehicles._jdf.queryExecution().executedPlan().toString()
     assert "service_day" in plan and "2024-04-21" not in plan
-    before = content(warehouse, "crashes_people_keys")
-    pipeline.rebuild(warehouse)
-    assert content(warehouse, "crashes_people_keys") == before
+    # only the late child is no neighbour of its incident
+    assert [r["service_day"] for r in warehouse.read("crashes_people_days").collect()] == [DAYS[2]]
+    assert warehouse.read("crashes_vehicles_days").count() == 0
 
 
 def test_sql_stage_keeps_its_neighbours(spark, tmp_path):
@@ -336,8 +336,8 @@ def test_untransformed_dataset(spark, tmp_path):
     assert tuple(spark.table("plain_db.plain").first()) == ("1", None, DAYS[1])
 
 
-def test_stored_children_without_key_tables_are_found(spark, tmp_path):
-    """A warehouse that holds days from before the key tables loses no child."""
+def test_stored_children_without_index_are_found(spark, tmp_path):
+    """A warehouse that holds days from before the index and the ledger loses no child."""
     warehouse, root = Warehouse(spark, "keyless", str(tmp_path / "wh")), str(tmp_path / "raw")
     sources = raw_sources(spark, days=2)
     early = spark.createDataFrame(
@@ -345,11 +345,10 @@ def test_stored_children_without_key_tables_are_found(spark, tmp_path):
     )
     sources["crashes_people"] = sources["crashes_people"].unionByName(early)
     pipeline.run_day(warehouse, sources, root, DayBounds(DAYS[0]))
-    for name in CHILD_KEYS.values():
+    for name in (*CHILD_DAYS.values(), LEDGER):
         spark.sql(f"DROP TABLE {warehouse.table(name)}")
         shutil.rmtree(tmp_path / "wh" / name)
     pipeline.run_day(warehouse, sources, root, DayBounds(DAYS[1]))
     row = warehouse.read("crashes_people_summary").filter("crash_record_id = 'c30'").first()
     assert row["list_of_gender"] == ["F", "M"]
-    keys = warehouse.read("crashes_people_keys")
-    assert {r[0] for r in keys.select("service_day").distinct().collect()} == set(DAYS[:2])
+    assert {r["service_day"] for r in warehouse.read("crashes_people_days").collect()} == {DAYS[0]}
