@@ -33,7 +33,15 @@ from daybook.sources.landing import (
     read_days,
 )
 from daybook.sources.manifest import digest
-from daybook.sources.schemas import CHILD_DAYS, LEDGER, SERVICE_DAY, TABLES, TableSpec
+from daybook.sources.schemas import (
+    CHILD_DAYS,
+    CUBE_DAY,
+    CUBE_PARTS,
+    LEDGER,
+    SERVICE_DAY,
+    TABLES,
+    TableSpec,
+)
 from daybook.sources.tables import (
     day_files,
     ensure_table,
@@ -351,6 +359,24 @@ def _around(first: dt.date, last: dt.date, margin: int) -> list[dt.date]:
     return [start + dt.timedelta(days=n) for n in range((last - first).days + 2 * margin + 1)]
 
 
+def _complete_parts(warehouse: Warehouse, ledger: Ledger, days: Iterable[dt.date]) -> None:
+    """Make the partial cubes of local days whose summary is not the one they were made
+    of; of the days around a run that is mostly the run's own."""
+    source = "crashes_people_vehicle_summary"
+    spec, days = warehouse.ensure(CUBE_PARTS), list(days)
+    ledger.read(days)
+    for day in days:
+        files = warehouse.files(source, [day])
+        inputs = checksum(RULES, spec.columns, ledger.content(source, day, files))
+        kept = warehouse.files(CUBE_PARTS, [day])
+        if ledger.proven(CUBE_PARTS, day, inputs, kept) or files == kept == digest([]):
+            continue
+        seen = Observation()
+        part = rollups.cube(warehouse.read(source, [day]))
+        replace_day(align(part, spec.schema), warehouse.table(CUBE_PARTS), spec, day, seen)
+        ledger.done([Entry(CUBE_PARTS, inputs, checksum_of(seen), warehouse.files(CUBE_PARTS, [day]))], day)
+
+
 def daily_stages() -> tuple[Stage, ...]:
     """The three rollups for a day's run.
 
@@ -391,13 +417,14 @@ def daily_stages() -> tuple[Stage, ...]:
     def cube_reads(warehouse: Warehouse, bounds: DayBounds, ledger: Ledger) -> Reads:
         """The UTC days the run touches reach into neighbouring local days."""
         touched = bounds.utc_days()
-        return {"crashes_people_vehicle_summary": _around(touched[0], touched[-1], 1)}
+        nearby = _around(touched[0], touched[-1], 1)
+        _complete_parts(warehouse, ledger, nearby)
+        return {CUBE_PARTS: nearby}
 
     def cube(warehouse: Warehouse, bounds: DayBounds, reads: Reads) -> DataFrame:
         """The UTC days the run touches, whole."""
-        name, touched = "crashes_people_vehicle_summary", bounds.utc_days()
-        summary = warehouse.read(name, reads[name])
-        return rollups.cube(summary.filter(F.to_date("crash_date").isin(touched)))
+        parts = warehouse.read(CUBE_PARTS, reads[CUBE_PARTS])
+        return rollups.merged_days(parts.filter(F.col(CUBE_DAY).isin(bounds.utc_days())))
 
     return (
         Stage("crashes_people_summary", people, days=_service_day, reads=people_reads),

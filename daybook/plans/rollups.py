@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import bags
-from daybook.functions.sketches import distinct_estimate, key_sketch, merged_sketch
+from daybook.functions.sketches import KeySet, distinct_estimate, key_bounds, key_sketch, merged_sketch
 from daybook.functions.times import utc_day
 from daybook.operators.aggregates import KEY, participant_aggregate, vehicle_aggregate
 
@@ -167,3 +167,47 @@ def merge_cube(
         )
         .withColumn("crashes", distinct_estimate(F.col(SKETCH)))
     )
+
+
+def merged_days(parts: DataFrame) -> DataFrame:
+    """The cube of whole UTC days, from the partial cubes of the local days they span.
+
+    A part is a cube of one local day's incidents, by UTC day like the cube, so sums are
+    summed and sketches united; no incident is grouped again.
+    """
+    return parts.groupBy(*CUBE_DIMENSIONS).agg(
+        *[F.sum(name).alias(name) for name in CUBE_MEASURES],
+        merged_sketch(F.col(SKETCH)).alias(SKETCH),
+    )
+
+
+def incident_sets(
+    cube_rows: DataFrame,
+    sets: dict[str, Column],
+    asked: dict[str, KeySet],
+    dimensions: Iterable[str] = (),
+    deviations: float = 3.0,
+) -> DataFrame:
+    """Per group of a stored cube, how many incidents each expression has, with bounds.
+
+    ``sets`` names conditions on the cube's rows. Their sketches are merged in one pass;
+    the expressions are then worked out on the merged sketches alone.
+    """
+    used = set().union(*(e.names() for e in asked.values()))
+    if missing := used - sets.keys():
+        raise ValueError(f"sets not named: {sorted(missing)}")
+    merged = cube_rows.groupBy(*dimensions).agg(
+        *[merged_sketch(F.when(sets[n], F.col(SKETCH))).alias(f"__{n}") for n in sorted(used)]
+    )
+    named = {n: F.col(f"__{n}") for n in used}
+    found = merged.withColumns({f"__of_{n}": e.sketch(named) for n, e in asked.items()})
+    columns = []
+    for name in asked:
+        sketch = F.col(f"__of_{name}")
+        bounds = key_bounds(sketch, deviations)
+        columns += [
+            distinct_estimate(sketch).alias(name),
+            bounds["lower"].alias(f"{name}_lower"),
+            bounds["upper"].alias(f"{name}_upper"),
+        ]
+    return found.select(*dimensions, *columns)

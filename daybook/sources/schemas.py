@@ -121,6 +121,9 @@ CUBE_COLUMNS = """
     hazmat_involved boolean, total_people_involved bigint, crashes_set_sketch binary
 """
 
+# The cube of each local day's incidents, from which the days of the cube are merged.
+CUBE_PARTS = "crashes_cube_parts"
+
 # Which days hold the children of incidents of other days: kept beside each child
 # table, so that a day's run reads only those days of it.
 CHILD_DAYS = {"crashes_people": "crashes_people_days", "crashes_vehicles": "crashes_vehicles_days"}
@@ -140,6 +143,9 @@ TABLES: dict[str, TableSpec] = {
             TableSpec(name, CELL_COLUMNS, time_column=None, key_column=None)
             for name in CHILD_DAYS.values()
         ),
+        TableSpec(
+            CUBE_PARTS, f"{CUBE_DAY} date, {CUBE_COLUMNS}", time_column=None, key_column=None
+        ),
         TableSpec(LEDGER, LEDGER_COLUMNS, time_column=None, key_column="step"),
         TableSpec(
             "crashes_cube", CUBE_COLUMNS, day_column=CUBE_DAY, time_column=None, key_column=None

@@ -39,7 +39,7 @@ def test_declared_schemas(spark):
     assert sizes == {
         "crashes": 50, "crashes_people": 31, "crashes_vehicles": 69,
         "crashes_people_summary": 25, "crashes_people_vehicle_summary": 30, "crashes_cube": 29,
-        "crashes_people_days": 2, "crashes_vehicles_days": 2, "run_ledger": 5,
+        "crashes_people_days": 2, "crashes_vehicles_days": 2, "run_ledger": 5, "crashes_cube_parts": 30,
     }
     assert len(TABLES["crashes_cube"].stored_schema.fields) == 30
 

@@ -484,6 +484,64 @@ def sketch_rollup(t: Tables) -> DataFrame:
     return merged.drop(rollups.SKETCH)
 
 
+_SETS = """
+    SELECT weather_condition, street_name, crash_record_id, is_hit_run, hazmat_involved,
+           fire_happened, is_drunk
+    FROM (CHAIN)
+""".replace("CHAIN", sql.vehicle_summary(sql.INCIDENTS, sql.PEOPLE, sql.VEHICLES))
+
+
+def _in_both(kind: str, first: str, second: str) -> str:
+    ids = f"SELECT weather_condition, street_name, crash_record_id FROM ({_SETS}) WHERE"
+    return f"{ids} {first} {kind} {ids} {second}"
+
+
+def _per_group(name: str, ids: str) -> str:
+    return f"""(SELECT weather_condition, street_name, count(*) AS {name} FROM ({ids}) GROUP BY ALL)"""
+
+
+@query(
+    f"""
+    SELECT weather_condition, street_name, {", ".join(
+        f"coalesce({n}, 0) AS {n}, coalesce({n}, 0) AS {n}_lower, coalesce({n}, 0) AS {n}_upper"
+        for n in ("hit_hazmat", "either", "dangerous", "neither")
+    )}
+    FROM (SELECT DISTINCT weather_condition, street_name FROM ({_SETS}))
+    LEFT JOIN {_per_group("hit_hazmat", _in_both("INTERSECT", "is_hit_run", "hazmat_involved"))}
+      USING (weather_condition, street_name)
+    LEFT JOIN {_per_group("either", _in_both("UNION", "is_hit_run", "hazmat_involved"))}
+      USING (weather_condition, street_name)
+    LEFT JOIN {_per_group("dangerous", "(" + _in_both("INTERSECT", "is_hit_run", "hazmat_involved") + ") EXCEPT "
+      + f"SELECT weather_condition, street_name, crash_record_id FROM ({_SETS}) WHERE fire_happened")}
+      USING (weather_condition, street_name)
+    LEFT JOIN {_per_group("neither", _in_both("EXCEPT", "true", "(is_hit_run OR is_drunk)"))}
+      USING (weather_condition, street_name)
+    """
+)
+def sketch_set_algebra(t: Tables) -> DataFrame:
+    """Sets of incidents worked out on the stored sketches of the cube, with bounds."""
+    cube = rollups.incident_cube(
+        standins.incidents(t), standins.people(t), standins.vehicles(t), lists=False
+    )
+    hit, hazmat, fire, drunk, all_ = (
+        sketches.KeySet(n) for n in ("hit", "hazmat", "fire", "drunk", "all")
+    )
+    conditions = {
+        "hit": F.col("is_hit_run"),
+        "hazmat": F.col("hazmat_involved"),
+        "fire": F.col("fire_happened"),
+        "drunk": F.col("is_drunk"),
+        "all": F.lit(True),
+    }
+    asked = {
+        "hit_hazmat": hit & hazmat,
+        "either": hit | hazmat,
+        "dangerous": (hit & hazmat) - fire,
+        "neither": all_ - (hit | drunk),
+    }
+    return rollups.incident_sets(cube, conditions, asked, ["weather_condition", "street_name"])
+
+
 # --- stored tables and the pipeline --------------------------------------
 
 
