@@ -48,7 +48,8 @@ def plan(rows):
 # These write tables before they return.
 STORED = {
     "day_replace_roundtrip", "pipeline_rebuild", "landing_counts", "landing_files", "daily_run",
-    "landed_and_rejected", "sql_stage_rerun", "foreign_table_replace",
+    "landed_and_rejected", "sql_stage_rerun", "foreign_table_replace", "quarantine_cells",
+    "quarantine_replay", "cube_lattice",
 }
 
 
