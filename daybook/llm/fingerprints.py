@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,8 @@ from pyspark.sql import types as T
 from daybook.llm.common import column, slices
 
 K = 128
+#: Groups that a task merges at a time before the shuffle.
+GROUPS_AT_ONCE = 1 << 12
 SHINGLE = 5
 _RANGE = float(1 << 63)
 #: Odd multipliers, one per place in a shingle, and those of the final mix.
@@ -106,12 +109,41 @@ def with_sketches(
 
 
 def merged(sketches: DataFrame, by: list[str], name: str = "sketch", k: int = K) -> DataFrame:
-    """One sketch per group of parts. Parts are merged in each task's share of a
-    group first, so a hot group costs its last task ``k`` numbers a share."""
-    salted = sketches.withColumn("__salt", F.pmod(F.xxhash64(name), F.lit(64)))
-    lowest = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_set(name)))), 1, k)
-    partial = salted.groupBy(*by, "__salt").agg(lowest.alias(name))
-    return partial.groupBy(*by).agg(lowest.alias(name))
+    """One sketch per group of parts: ``by`` and the sketch.
+
+    Every task first merges its parts of a group into one sketch, for ``GROUPS_AT_ONCE``
+    groups at a time; then a group's sketches are merged one after the other as they
+    come. No step holds more of a group than ``k`` numbers and the part it adds.
+    """
+    schema = T.StructType([sketches.schema[c] for c in by]).add(name, T.ArrayType(T.LongType()))
+
+    def batch(held: dict[tuple, np.ndarray], like: pa.RecordBatch) -> pa.RecordBatch:
+        kinds = [like.schema.field(c).type for c in by]
+        keys = zip(*held, strict=True) if by else ()
+        columns = [pa.array(c, t) for c, t in zip(keys, kinds, strict=True)]
+        lists = pa.array(list(held.values()), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([*columns, lists], names=[*by, name])
+
+    def run(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+        part = None
+        for part in batches:
+            columns = [column(part, c).to_pylist() for c in by]
+            keys = zip(*columns, strict=True) if by else itertools.repeat((), part.num_rows)
+            for key, found in zip(keys, column(part, name).to_pylist(), strict=True):
+                own = np.array(found or [], dtype=np.int64)
+                if key not in held and len(held) >= most:
+                    yield batch(held, part)
+                    held = {}
+                held[key] = merge(held.get(key, own[:0]), own, k)
+        if held:
+            yield batch(held, part)
+
+    columns = sketches.select(*(f"`{c}`" for c in [*by, name]))
+    partial = columns.mapInArrow(lambda batches: run(batches, GROUPS_AT_ONCE), schema)
+    keys = [F.col(f"`{c}`") for c in by]
+    gathered = partial.repartition(*keys).sortWithinPartitions(*keys) if by else partial.coalesce(1)
+    return gathered.mapInArrow(lambda batches: run(batches, 1), schema)
 
 
 def with_next(
