@@ -92,6 +92,8 @@ def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
         removed.alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # What is left, to be read; half code points at a cut are replaced.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 

@@ -39,7 +39,9 @@ from daybook.llm.common import column, slices, utf8_texts, written
 from daybook.llm.suffix_array import permuted_prefixes, suffix_array
 
 LENGTH = 400
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
+#: Bytes of segments that a task builds suffix arrays of.
+TASK_BYTES = 4 << 20
 STRETCH = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -225,8 +227,10 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
 _RANGES = "array<struct<a:int,b:int>>"
 
 
-def _sharded(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """``h, sd, n, ranges``: repeated windows of segments, whole hashes a shard."""
+def _sharded(pieces: DataFrame, length: int, shard_bytes: int, total: int) -> DataFrame:
+    """``h, sd, n, ranges``: repeated windows of segments, whole hashes a shard.
+
+    ``total`` bytes are dealt to as many tasks as it takes, so tasks do not grow."""
 
     def solved(keys: list[tuple], parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         rows = [
@@ -263,7 +267,8 @@ def _sharded(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
         if parts:
             yield from solved(keys, parts)
 
-    spread = pieces.repartition("h").sortWithinPartitions("h")
+    tasks = max(1, -(-total // TASK_BYTES))
+    spread = pieces.repartition(tasks, "h").sortWithinPartitions("h")
     return spread.mapInArrow(run, f"h bigint, sd bigint, n int, ranges {_RANGES}")
 
 
@@ -290,7 +295,8 @@ def repeated_ranges(
         several = sizes.filter("different > 1").withColumn("large", F.col("size") > shard_bytes)
         wanted = kinds.select(*_SEGMENT, "k1", "k2", "first").join(several.select("h", "large"), "h")
         pieces = written(_fetched(texts, wanted, length), "pieces")
-        within = _sharded(pieces.filter("NOT large").drop("large"), length, shard_bytes)
+        total = several.filter("NOT large").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        within = _sharded(pieces.filter("NOT large").drop("large"), length, shard_bytes, total)
         large = pieces.filter("large").dropDuplicates(_SEGMENT)
         if not large.isEmpty():
             # The bytes' hash and the number of windows tell the segments apart.
