@@ -201,7 +201,8 @@ def judge(
     labelled = texts.filter("accepted IS NOT NULL")
     suffixes, contexts = model(labelled.filter("NOT held_out").select("text", "n", "accepted"))
     places = _grams(texts.select("id", "text"))
-    known = ratios(places.select("gram").distinct(), suffixes, contexts)
+    # Written, so that the places of a frequent gram can be split in the join.
+    known = written(ratios(places.select("gram").distinct(), suffixes, contexts), "ratios")
     sums = places.join(known, "gram").groupBy("id").agg(F.sum("ratio").alias("total"))
     scored = texts.join(sums, "id").withColumn(
         "score", (F.col("total") / (F.char_length("text") + 1)).cast(RATIO)
