@@ -12,6 +12,7 @@ import xxhash
 
 import corpus_pipeline
 from daybook.llm import byte_bpe, mixing, quality_rules, queries
+from daybook.session import prepare_workers
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 WORDS = "the of and to der die la que thanedble erntand enachberau ñosll ció été".split()
@@ -86,7 +87,7 @@ def near_duplicates(rows):
         yield min(found, key=lambda r: (r[0] is None, r[0]))
 
 
-def long_repeats(rows, length=400):
+def long_repeats(rows, length=corpus_pipeline.REPEAT_BYTES):
     rows = list(rows)
     raw = [(r[1] or "").encode() for r in rows]
     met = Counter(t[i : i + length] for t in raw for i in range(len(t) - length + 1))
@@ -166,3 +167,21 @@ def test_stages_pass_clashing_columns(spark, column):
         out = stage(spark, rows, "")
         assert out.columns == rows.columns, name
         assert {r[column] for r in out.collect()} <= {"mine"}, name
+
+
+def test_planted_passages_go_and_clean_texts_stay(spark):
+    """Passages of 51 words and more that documents share, in documents that are no near
+    copies of each other; of the others nothing goes."""
+    prepare_workers(spark)
+    passages = [prose(7000 + i, 51 + 4 * i) for i in range(6)]
+    rows, planted = [], {}
+    for n in range(30):
+        text = f"{prose(8000 + n, 150)} {passages[n % 6]} {prose(9000 + n, 150)}"
+        planted[n] = passages[n % 6]
+        rows.append((n, text, "en", "src0", len(text)))
+    clean = [(100 + n, prose(5000 + n, 300), "en", "src1", None) for n in range(30)]
+    docs = spark.createDataFrame(rows + clean, COLUMNS)
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.long_repeats(spark, docs, "").collect()}
+    caught = sum(len(p) > 255 and p not in kept[n] for n, p in planted.items())
+    assert caught == sum(len(p) > 255 for p in planted.values()) >= 25
+    assert all(kept[n] == text for n, text, *_ in clean)
