@@ -18,6 +18,10 @@ from daybook.llm import byte_bpe, mixing, quality_rules, queries, repeated_spans
 from daybook.llm.common import written
 from daybook.session import prepare_workers
 
+#: Bytes from which on a string met twice is removed. Passages of more than fifty words
+#: are the aim: they start at some 51 * (4 + 1) bytes, far below operator 7's own 400.
+REPEAT_BYTES = 250
+
 #: The suffix arrays, the Poisson draws by text and the merges are beyond SQL.
 ORACLE_SQL = None
 
@@ -35,7 +39,7 @@ def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     prepare_workers(spark)
     others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))
     packed = docs.select(others.alias("others"), "text")
-    kept = repeated_spans.without_repeats(packed, as_text=True)
+    kept = repeated_spans.without_repeats(packed, length=REPEAT_BYTES, as_text=True)
     new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")}
     return kept.select(*(new.get(c, F.col("others")[c]).alias(c) for c in docs.columns))
 
