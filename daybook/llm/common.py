@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from daybook.session import shared_folder
 
@@ -27,6 +29,19 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more, and let Spark remove the
+    shuffles of plans that are gone: it does so when the driver collects them, which a
+    driver with little else to do puts off."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    gc.collect()
+    SparkSession.active()._jvm.System.gc()
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -2,7 +2,7 @@
 
 A text is its words, A-Z lower-cased, and one end. The root is the add-one
 distribution over the training words and one unknown word. Below it stand
-contexts of one to ``DEPTH`` words. A context is retained if the next-word
+contexts of one to ``depth`` words. A context is retained if the next-word
 distribution seen after it diverges from that of the context without its first
 word (its suffix): the log-likelihood gained over the suffix must exceed
 ``DIVERGENCE`` nats for each word kept. A state gives the words kept after it
@@ -10,13 +10,14 @@ their counts, and the remaining mass, with a share for as many unseen words, to
 its suffix; every distribution sums to one. A text is scored by the longest
 retained suffix before each word.
 
-A word is kept after a context from ``KEPT`` occurrences on, whatever the size
-of the corpus; nothing else limits contexts before the divergence test. States
+A word is kept after a context from ``kept`` occurrences on, whatever the size
+of the corpus; nothing but that and ``depth`` limits contexts before the divergence
+test, and the caller may choose both. States
 are Spark tables of 64-bit gram hashes. A gram of k words stands for a word after
 a context of k - 1 and for a context of k, so a text's gain over the root is a
 sum of one value for each of its grams, found in a join. Grams of at least
 ``COMMON_SHARE`` of the tokens, a bounded number, are found in a broadcast
-instead. A gram can only reach ``KEPT`` if both grams of one word less do, and
+instead. A gram can only reach ``kept`` if both grams of one word less do, and
 only grams with a state count: both are asked of a bitmap of ``_CELL_BITS`` bits
 of the hash, which lets some through that the join then drops, and loses none.
 
@@ -30,15 +31,15 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import column, slices, utf8_texts, written
+from daybook.llm.common import column, dropped, slices, utf8_texts, written
 
 KEPT = 2
 DEPTH = 3
@@ -48,7 +49,6 @@ DIVERGENCE = 4.0
 WORDS_AT_ONCE, PAIRS_AT_ONCE = 1 << 18, 1 << 22
 REMEMBERED = 1 << 18
 END, START = b"", b" "
-_BITS = 17
 _CELL_BITS = 28
 
 
@@ -57,8 +57,19 @@ def held_out(ident: Column) -> Column:
     return F.coalesce(F.crc32(ident.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), END]
+def split(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """How many words each text has, the different words, and each word's place among
+    them."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten()
+    filled = pc.binary_length(words).to_numpy() > 0
+    counts = np.diff(np.append(0, np.cumsum(filled))[lists.offsets.to_numpy()])
+    coded = words.filter(pa.array(filled)).dictionary_encode()
+    return counts, coded.dictionary, coded.indices.to_numpy()
+
+
+def _as_bytes(words: pa.Array) -> list[bytes]:
+    return words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
 
 
 def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -72,8 +83,11 @@ def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for part in slices(batches, text):
-            for t in utf8_texts(column(part, text)):
-                counts.update(tokens(t))
+            sizes, words, places = split(column(part, text))
+            found = np.bincount(places, minlength=len(words)).tolist()
+            for word, n in zip(_as_bytes(words), found, strict=True):
+                counts[word] += n
+            counts[END] += len(sizes)
             if len(counts) > WORDS_AT_ONCE:
                 yield batch(counts)
                 counts = Counter()
@@ -84,17 +98,6 @@ def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-@dataclass(frozen=True)
-class Contexts:
-    """Contexts of one depth in memory, for small models: sorted keys with the mass left to the suffix, and
-    sorted keys of context and kept word with its own share."""
-
-    keys: np.ndarray
-    left: np.ndarray
-    kept: np.ndarray
-    share: np.ndarray
-
-
 def _found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which of the asked are among sorted keys, and where."""
     if not len(keys):
@@ -103,53 +106,6 @@ def _found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[at] == asked, at
 
 
-def refined(
-    lower: np.ndarray, contexts: Contexts, context: np.ndarray, symbol: np.ndarray
-) -> np.ndarray:
-    """Probabilities in the states of ``context`` where retained, else as given."""
-    known, at = _found(contexts.keys, context)
-    place = np.flatnonzero(known)
-    p = contexts.left[at[place]] * lower[place]
-    kept, where = _found(contexts.kept, context[place] << _BITS | symbol[place])
-    p[kept] += contexts.share[where[kept]]
-    result = lower.copy()
-    result[place] = p
-    return result
-
-
-@dataclass(frozen=True)
-class Tree:
-    symbols: dict[bytes, int]
-    root: np.ndarray
-    depths: tuple[Contexts, ...]
-
-
-def retained(
-    tree: Tree, totals: list[np.ndarray], pairs: list[np.ndarray], divergence: float = DIVERGENCE
-) -> Contexts:
-    """The contexts whose kept words diverge enough from their suffix's state.
-
-    ``totals``: context and count; ``pairs``: key of context and word, and count.
-    """
-    contexts, n = totals
-    kept, c = pairs
-    place = np.searchsorted(contexts, kept >> _BITS)
-    kinds = np.bincount(place, minlength=len(contexts))
-    whole = n + kinds
-    share = c / whole[place]
-    left = 1.0 - np.bincount(place, weights=share, minlength=len(contexts))
-    symbol = kept & ((1 << _BITS) - 1)
-    lower = tree.root[symbol]
-    for depth, above in enumerate(tree.depths, 1):
-        suffix = (kept >> _BITS) & ((1 << _BITS * depth) - 1)
-        lower = refined(lower, above, suffix, symbol)
-    inside = c * (np.log(share + left[place] * lower) - np.log(lower))
-    outside = (n - np.bincount(place, weights=c, minlength=len(contexts))) * np.log(np.maximum(left, 1e-300))
-    gain = np.bincount(place, weights=inside, minlength=len(contexts)) + outside
-    keep = (kinds > 0) & (gain > divergence * kinds)
-    return Contexts(contexts[keep], left[keep], kept[keep[place]], share[keep[place]])
-
-
 class Hashes(dict):
     """Word -> 64-bit hash; a fixed number is remembered."""
 
@@ -167,12 +123,19 @@ def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _grams(texts: list[list[bytes]], hashes: Hashes, depth: int) -> Iterator[tuple]:
+def _grams(texts: pa.Array, hashes: Hashes, depth: int) -> Iterator[tuple]:
     """For 1 to ``depth`` + 1 words: the row of each gram, its hash, context and suffix.
 
-    The start of a text is a word of its own before it."""
-    rows = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
-    grams = np.array([hashes[w] for t in texts for w in (START, *t)], dtype=np.uint64)
+    The start of a text is a word of its own before it, and its end one after it."""
+    sizes, words, places = split(texts)
+    known = np.array([hashes[w] for w in _as_bytes(words)], dtype=np.uint64)
+    rows = np.repeat(np.arange(len(sizes)), sizes + 2)
+    ends = np.cumsum(sizes + 2)
+    grams = np.empty(len(rows), dtype=np.uint64)
+    inner = np.ones(len(rows), dtype=bool)
+    inner[ends - sizes - 2] = inner[ends - 1] = False
+    grams[inner] = known[places]
+    grams[ends - sizes - 2], grams[ends - 1] = hashes[START], hashes[END]
     yield rows, grams, None, None
     for _ in range(depth):
         same = rows[1:] == rows[: len(rows) - 1]
@@ -202,8 +165,8 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _gram_counts(texts: DataFrame, order: int, below: np.ndarray) -> DataFrame:
-    """``gram, context, suffix, c`` of the grams that occur ``KEPT`` times."""
+def _gram_counts(texts: DataFrame, order: int, below: np.ndarray, kept: int) -> DataFrame:
+    """``gram, context, suffix, c`` of the grams that occur ``kept`` times."""
     spread = texts.sparkSession.sparkContext.broadcast(below)
 
     def batch(pairs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
@@ -223,8 +186,7 @@ def _gram_counts(texts: DataFrame, order: int, below: np.ndarray) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
         for part in slices(batches, "text"):
-            split = [tokens(t) for t in utf8_texts(column(part, "text"))]
-            *_, (_, _, context, suffix) = _grams(split, hashes, order - 1)
+            *_, (_, _, context, suffix) = _grams(column(part, "text"), hashes, order - 1)
             both = _in_bitmap(bits, context) & _in_bitmap(bits, suffix)
             held.append((context[both], suffix[both]))
             size += int(both.sum())
@@ -243,12 +205,12 @@ def _gram_counts(texts: DataFrame, order: int, below: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["gram", "context", "suffix", "c"])
 
     partial = texts.mapInArrow(run, "context bigint, suffix bigint, c bigint")
-    counts = partial.groupBy("context", "suffix").agg(F.sum("c").alias("c")).filter(F.col("c") >= KEPT)
+    counts = partial.groupBy("context", "suffix").agg(F.sum("c").alias("c")).filter(F.col("c") >= kept)
     counts = counts.mapInArrow(named, "gram bigint, context bigint, suffix bigint, c bigint")
     return written(counts, f"grams-{order}")
 
 
-def _word_states(words: DataFrame, size: int, kinds: int) -> DataFrame:
+def _word_states(words: DataFrame, size: int, kinds: int, kept: int) -> DataFrame:
     """``gram, c, p`` of the single words and of the start of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,53 +220,84 @@ def _word_states(words: DataFrame, size: int, kinds: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([_signed(coded), column(part, "c")], names=["gram", "c"])
 
     start = words.filter(F.col("word") == "").select(F.lit(" ").alias("word"), "c")
-    rows = words.unionByName(start).filter(F.col("c") >= KEPT).mapInArrow(run, "gram bigint, c bigint")
+    rows = words.unionByName(start).filter(F.col("c") >= kept).mapInArrow(run, "gram bigint, c bigint")
     return written(rows.withColumn("p", (F.col("c") + 1) / F.lit(float(size + kinds + 1))), "grams-1")
 
 
-def grown(texts: DataFrame, words: DataFrame, size: int, kinds: int, depth: int = DEPTH) -> DataFrame:
+def grown(
+    texts: DataFrame, words: DataFrame, size: int, kinds: int, depth: int = DEPTH, kept: int = KEPT
+) -> DataFrame:
     """``gram, c, value``: what each gram of a text adds to its gain in nats."""
-    below = _word_states(words, size, kinds)
-    values = None
+    below = _word_states(words, size, kinds, kept)
+    found: list[DataFrame] = []
     for order in range(2, depth + 2):
-        grams = _gram_counts(texts, order, bitmap(below, "gram"))
-        seen = below.select(F.col("gram").alias("context"), F.col("c").alias("n"))
-        lower = below.select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
-        rows = written(grams.join(lower, "suffix").drop("suffix"), f"lower-{order}")
-        states = rows.groupBy("context").agg(F.count("*").alias("kinds"), F.sum("c").alias("kept"))
-        whole = F.col("n") + F.col("kinds")
-        states = states.join(seen, "context").withColumn("whole", whole).withColumn(
-            "left", (F.col("whole") - F.col("kept")) / F.col("whole")
-        )
-        p = F.col("c") / F.col("whole") + F.col("left") * F.col("lower")
-        inside = F.col("c") * (F.log(p) - F.log("lower"))
-        gains = rows.join(states, "context").groupBy("context").agg(F.sum(inside).alias("inside"))
-        gain = F.col("inside") + (F.col("n") - F.col("kept")) * F.log("left")
-        kept = states.join(gains, "context").filter(gain > DIVERGENCE * F.col("kinds"))
-        kept = written(kept.select("context", "n", "whole", "left"), f"contexts-{order}")
-        better = F.when(F.col("whole").isNotNull(), p)
-        rows = rows.join(kept, "context", "left").select(
-            "gram",
-            "c",
-            F.coalesce(better, "lower").alias("p"),
-            (F.log(better) - F.log("lower") - F.log("left")).alias("value"),
-        )
-        below = written(rows, f"states-{order}")
-        ours = below.filter("value IS NOT NULL").select("gram", "c", "value")
-        ours = ours.union(kept.select("context", "n", F.log("left")))
-        values = ours if values is None else values.union(ours)
-    return written(values.groupBy("gram").agg(F.max("c").alias("c"), F.sum("value").alias("value")), "values")
+        grams = _gram_counts(texts, order, bitmap(below, "gram"), kept)
+        dropped()
+        rows, values = _states(grams, below, order)
+        dropped(below)
+        below = rows
+        found.append(values)
+    dropped(below)
+    every = found[0]
+    for values in found[1:]:
+        every = every.union(values)
+    merged = every.groupBy("gram").agg(F.max("c").alias("c"), F.sum("value").alias("value"))
+    merged = written(merged, "values")
+    dropped(*found)
+    return merged
+
+
+def _states(grams: DataFrame, below: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
+    """``gram, c, p`` of an order's grams, and what the states retained add to a gain.
+
+    ``below`` has the grams of one word less: the count of a context, and the
+    probability of a word in the state of the context's suffix."""
+    seen = below.select(F.col("gram").alias("context"), F.col("c").alias("n"))
+    lower = below.select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
+    rows = written(grams.join(lower, "suffix").drop("suffix"), f"lower-{order}")
+    dropped(grams)
+    states = rows.groupBy("context").agg(F.count("*").alias("kinds"), F.sum("c").alias("kept"))
+    whole = F.col("n") + F.col("kinds")
+    states = states.join(seen, "context").withColumn("whole", whole).withColumn(
+        "left", (F.col("whole") - F.col("kept")) / F.col("whole")
+    )
+    p = F.col("c") / F.col("whole") + F.col("left") * F.col("lower")
+    inside = F.col("c") * (F.log(p) - F.log("lower"))
+    outside = (F.col("n") - F.col("kept")) * F.log("left")
+    # The rows stand by context already; a context has as many as words kept after it.
+    gain = F.sum(inside).over(Window.partitionBy("context")) + outside
+    judged = rows.join(states, "context").withColumn("retained", gain > DIVERGENCE * F.col("kinds"))
+    stored = judged.select(
+        "gram",
+        "c",
+        F.when(F.col("retained"), p).otherwise(F.col("lower")).alias("p"),
+        F.when(F.col("retained"), F.log(p) - F.log("lower") - F.log("left")).alias("value"),
+        F.when(F.col("retained"), F.col("context")).alias("context"),
+        "n",
+        F.log("left").alias("left"),
+    )
+    stored = written(stored, f"states-{order}")
+    dropped(rows)
+    ours = stored.filter("context IS NOT NULL").select("gram", "c", "value")
+    contexts = stored.filter("context IS NOT NULL").groupBy("context").agg(F.first("n"), F.first("left"))
+    values = written(ours.union(contexts), f"values-{order}")
+    return stored, values
 
 
-def score(rows: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+def score(
+    rows: DataFrame, ident: str = "doc_id", text: str = "text", depth: int = DEPTH, kept: int = KEPT
+) -> DataFrame:
     """``rows`` without the text, with ``held_out, n_tokens, n_known,
-    train_tokens, base_score, score``; names in use are replaced."""
+    train_tokens, base_score, score``; names in use are replaced. No rows give no rows.
+
+    ``depth`` is the most words a context has, ``kept`` the occurrences from which on a
+    word is kept after one."""
     added = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     rest = [c for c in rows.columns if c != text and c not in added]
     training = rows.filter(~held_out(F.col(f"`{ident}`"))).select(F.col(f"`{text}`").alias("text"))
     words = written(word_counts(training), "words")
     size, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    values = grown(training, words, size, kinds)
+    values = grown(training, words, size, kinds, depth, kept)
     often = values.filter(F.col("c") >= COMMON_SHARE * size).orderBy("gram").toArrow()
     held = (often["gram"].to_numpy(), often["value"].to_numpy())
     seldom = values.filter(F.col("c") < COMMON_SHARE * size)
@@ -322,42 +315,60 @@ def score(rows: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFra
     schema = T.StructType([packed.schema["rest"], *T.StructType.fromDDL(made).fields])
     rare_type = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
     gram_type = pa.list_(pa.struct([("gram", pa.int64()), ("m", pa.int64())]))
-    types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare_type)
+    types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
     names = ["rest", "n_tokens", "known", "logs", "gain", "rare", "grams"]
 
-    def found_grams(split: list[list[bytes]], hashes: Hashes) -> tuple[np.ndarray, pa.Array]:
+    def found_grams(texts: pa.Array, hashes: Hashes) -> tuple[np.ndarray, pa.Array]:
         """The gain of each text by common grams, and its others that may have a value."""
         (keys, worth), bits, _ = model.value
-        gain, texts, others = np.zeros(len(split)), [], []
-        for rows, grams, _, _ in _grams(split, hashes, DEPTH):
+        gain, owners, others = np.zeros(len(texts)), [], []
+        for rows, grams, _, _ in _grams(texts, hashes, depth):
             known, at = _found(keys, grams.view(np.int64))
-            gain += np.bincount(rows[known], weights=worth[at[known]], minlength=len(split))
+            gain += np.bincount(rows[known], weights=worth[at[known]], minlength=len(texts))
             maybe = ~known & _in_bitmap(bits, grams)
-            texts.append(rows[maybe])
+            owners.append(rows[maybe])
             others.append(grams[maybe])
-        text, gram = np.concatenate(texts), np.concatenate(others)
+        text, gram = np.concatenate(owners), np.concatenate(others)
         by = np.lexsort((gram, text))
         text, gram = text[by], gram[by]
         new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (gram[1:] != gram[:-1]))[: len(text)])
-        pairs = pa.StructArray.from_arrays(
-            [_signed(gram[new]), pa.array(np.diff(np.append(new, len(text))))], fields=list(gram_type.value_type)
-        )
-        ends = np.searchsorted(text[new], np.arange(len(split) + 1))
-        return gain, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+        columns = [_signed(gram[new]), pa.array(np.diff(np.append(new, len(text))))]
+        return gain, _listed(text[new], len(texts), columns, gram_type)
+
+    def _listed(owner: np.ndarray, texts: int, columns: list[pa.Array], kind: pa.ListType) -> pa.Array:
+        """A list of structs for each text, of rows in the order of their texts."""
+        ends = np.searchsorted(owner, np.arange(texts + 1))
+        rows = pa.StructArray.from_arrays(columns, fields=list(kind.value_type))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+
+    def found_words(texts: pa.Array) -> tuple:
+        """Tokens, common ones, the sum of their logs, and the others of each text."""
+        sizes, words, places = split(texts)
+        logs, n = model.value[2], len(sizes)
+        own = np.array([logs.get(w, np.nan) for w in _as_bytes(words)], dtype=np.float64)[places]
+        owner, common = np.repeat(np.arange(n), sizes), ~np.isnan(own)
+        known = np.bincount(owner[common], minlength=n)
+        total = np.bincount(owner[common], weights=own[common], minlength=n)
+        pairs, m = np.unique(owner[~common] * max(len(words), 1) + places[~common], return_counts=True)
+        owner, at = np.divmod(pairs, max(len(words), 1))
+        rare = words.take(pa.array(at))
+        if END in logs:
+            known, total = known + 1, total + logs[END]
+        else:  # the end of every text, as one more of its words
+            by = np.argsort(np.append(owner, np.arange(n)), kind="stable")
+            rare = pa.concat_arrays([rare, pa.array([END.decode()] * n, pa.string())]).take(pa.array(by))
+            m = np.append(m, np.ones(n, dtype=np.int64))[by]
+            owner = np.append(owner, np.arange(n))[by]
+        return sizes + 1, known, total, _listed(owner, n, [rare, pa.array(m, pa.int64())], rare_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, hashes = model.value[2], Hashes()
+        hashes = Hashes()
         for part in slices(batches, "text"):
-            split = [tokens(t) for t in utf8_texts(column(part, "text"))]
-            gains, grams = found_grams(split, hashes)
-            found = []
-            for words, gain in zip(split, gains.tolist(), strict=True):
-                common = [logs[w] for w in words if w in logs]
-                rare = Counter(w for w in words if w not in logs)
-                listed = [{"word": w.decode(), "n": n} for w, n in rare.items()]
-                found.append((len(words), len(common), math.fsum(common), gain, listed))
-            columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([column(part, "rest"), *columns, grams], names=names)
+            texts = column(part, "text")
+            gains, grams = found_grams(texts, hashes)
+            tokens, known, total, rare = found_words(texts)
+            numbers = [pa.array(c, t) for c, t in zip((tokens, known, total, gains), types, strict=True)]
+            yield pa.RecordBatch.from_arrays([column(part, "rest"), *numbers, rare, grams], names=names)
 
     scored = packed.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
     scored = written(scored, "scored")
