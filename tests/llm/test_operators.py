@@ -168,6 +168,21 @@ def test_sketches_estimate_and_merge(spark):
     assert row["sketch"] == expected.tolist()
 
 
+def test_sketches_of_many_groups_merge(spark, monkeypatch):
+    """A hot group, a null one, parts without shingles, and more groups than a task holds."""
+    prepare_workers(spark)
+    draw = random.Random(4)
+    rows = [(g, sorted(draw.sample(range(10**6), 30))) for g in [*range(5000), *[7] * 900, None, None]]
+    rows += [(7, None), (9000, []), (9000, None)]
+    table = spark.createDataFrame(rows, "g int, sketch array<bigint>").repartition(5)
+    found = {r["g"]: r["sketch"] for r in fingerprints.merged(table, ["g"], k=20).collect()}
+    wanted = collections.defaultdict(set)
+    for g, values in rows:
+        wanted[g].update(values or [])
+    assert found == {g: sorted(values)[:20] for g, values in wanted.items()}
+    assert fingerprints.merged(table.limit(0), ["g"]).count() == 0
+
+
 # --- SimHash -----------------------------------------------------------------
 
 
@@ -654,20 +669,29 @@ def test_language_model_against_dictionaries(spark, monkeypatch, common):
     assert all(abs(got[i] - wanted[i]) < 1e-6 * max(1, abs(wanted[i])) for i in got)
 
 
-def test_states_sum_to_one():
-    """A state's distribution over all symbols is one whole."""
-    draw = np.random.default_rng(2)
-    symbols = {str(i).encode(): i for i in range(1, 6)}
-    root = np.array([0.3, 0.2, 0.2, 0.1, 0.1, 0.1])
-    tree = suffix_tree_lm.Tree(symbols, root, ())
-    keys = np.sort(np.array([a << 17 | b for a in range(4) for b in range(0, 6, 2)]))
-    counts = draw.integers(5, 900, len(keys))
-    totals = [np.arange(4), np.bincount(keys >> 17, weights=counts).astype(np.int64) + 50]
-    one = suffix_tree_lm.retained(tree, totals, [keys, counts], divergence=-1e9)
-    every = np.arange(6)
-    for context in range(4):
-        p = suffix_tree_lm.refined(root, one, np.full(6, context), every)
-        assert abs(p.sum() - 1) < 1e-12 and (p > 0).all()
+@pytest.mark.parametrize("kept", [2, 3])
+def test_states_sum_to_one(spark, kept):
+    """In each stored state the words kept have their probabilities, and all others what
+    the suffix gives them of the mass left: together one whole."""
+    prepare_workers(spark)
+    draw = random.Random(3)
+    phrases = [f"{a} x y {b}" for a, b in zip("abcdef", "uvwrst", strict=True)]
+    texts = [" ".join(draw.choice(phrases) for _ in range(3)) for _ in range(60)] + [prose(i, 300) for i in range(9)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    words = suffix_tree_lm.written(suffix_tree_lm.word_counts(docs), "words")
+    size, kinds = words.agg(F.sum("c"), F.count("*")).first()
+    below = suffix_tree_lm._word_states(words, size, kinds, kept)
+    for order in (2, 3):
+        grams = suffix_tree_lm._gram_counts(docs, order, suffix_tree_lm.bitmap(below, "gram"), kept)
+        assert grams.agg(F.min("c")).first()[0] == kept
+        below, values = suffix_tree_lm._states(grams, below, order)
+        states = collections.defaultdict(list)
+        for r in below.filter("context IS NOT NULL").collect():
+            states[r["context"]].append((r["p"], r["p"] / math.exp(r["value"] + r["left"]), math.exp(r["left"])))
+        assert (order > 2 or len(states) > 5) and values.count() == len(states) + sum(map(len, states.values()))
+        for held in states.values():
+            p, lower, left = zip(*held, strict=True)
+            assert abs(sum(p) + left[0] * (1 - sum(lower)) - 1) < 1e-9 and min(p) > 0
 
 
 # --- schema ------------------------------------------------------------------
