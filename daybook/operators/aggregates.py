@@ -44,6 +44,8 @@ AGE_BANDS = (
 )
 DRUNK_ABOVE = 0.08
 
+_KINDS = {"vehicle_use": 0, "make": 1}
+
 
 def any_match(predicate: Column) -> Column:
     """Aggregate: does any row of the group match; null counts as no match."""
@@ -81,36 +83,41 @@ def participant_aggregate(people: DataFrame, alcohol_column: str = "bac_result")
 def vehicle_aggregate(vehicles: DataFrame) -> DataFrame:
     """One row per incident; uses and makes as bags.
 
-    The first grouping spreads an incident over reducers by use and make, and the
-    second spreads its distinct combinations by each use and each make, counted
-    as rows. Only distinct values move on to the incident's own reducer.
+    Rows are dealt by incident, use and make to tasks of bounded size before any are
+    grouped, however large the source's splits are; equal rows beyond that size are
+    dealt to several. The grouping spreads an incident over reducers by each use and
+    each make, counted as rows. Only its distinct values move on to the incident's own
+    reducer.
     """
-    combinations = vehicles.groupBy(KEY, "vehicle_use", "make").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bool_or("fire_i").alias("fire"),
-        F.bool_or(filled(F.col("hazmat_class"))).alias("hazmat"),
-        F.sum("occupant_cnt").alias("occupants"),
-    )
+    spread = F.xxhash64(KEY, "vehicle_use", "make")
+    dealt = vehicles.select(
+        KEY,
+        "vehicle_use",
+        "make",
+        F.col("fire_i").alias("fire"),
+        filled(F.col("hazmat_class")).alias("hazmat"),
+        F.col("occupant_cnt").alias("occupants"),
+        spread.alias("combination"),
+    ).hint("rebalance", "combination")
 
     def entry(kind: str, *measures: Column) -> Column:
         fields = zip(measures, ("fire", "hazmat", "occupants"), strict=True)
         return F.struct(
-            F.lit(kind).alias("kind"),
+            F.lit(_KINDS[kind]).alias("kind"),
             F.col(kind).alias("value"),
-            F.col("n"),
             *[measure.alias(name) for measure, name in fields],
         )
 
-    nothing = F.lit(None)
+    nothing, number = F.lit(None), dealt.schema["occupants"].dataType
     entries = F.array(
         entry("vehicle_use", F.col("fire"), F.col("hazmat"), F.col("occupants")),
-        entry("make", nothing.cast("boolean"), nothing.cast("boolean"), nothing.cast("bigint")),
+        entry("make", nothing.cast("boolean"), nothing.cast("boolean"), nothing.cast(number)),
     )
     per_value = (
-        combinations.select(KEY, F.inline(entries))
+        dealt.select(KEY, F.inline(entries))
         .groupBy(KEY, "kind", "value")
         .agg(
-            F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             F.bool_or("fire").alias("fire"),
             F.bool_or("hazmat").alias("hazmat"),
             F.sum("occupants").alias("occupants"),
@@ -118,7 +125,7 @@ def vehicle_aggregate(vehicles: DataFrame) -> DataFrame:
     )
 
     def bag(kind: str) -> Column:
-        return bags.collected_bag(F.when(F.col("kind") == kind, F.col("value")), F.col("n"))
+        return bags.collected_bag(F.when(F.col("kind") == _KINDS[kind], F.col("value")), F.col("n"))
 
     return per_value.groupBy(KEY).agg(
         bag("vehicle_use").alias("vehicle_uses"),

@@ -342,3 +342,19 @@ def test_hot_incident_is_spread_by_value(spark):
     row = found.select("num_people_involved", bags.as_list(F.col("vehicle_uses")).alias("uses")).first()
     assert row["num_people_involved"] == sum(i % 3 for i in range(20_000))
     assert Counter(row["uses"]) == Counter(f"u{i % 150}" for i in range(20_000))
+
+
+def test_vehicles_are_dealt_before_they_are_grouped(spark):
+    """No task groups a whole split of the source: a split may be of any size."""
+    rows = [("a", "TAXI", "FORD", True, 2, "x"), ("a", "TAXI", "KIA", None, None, ""), ("a", None, "KIA", False, 3, None)]
+    rows += [(None, "BUS", None, None, 1, None), ("b", None, None, None, None, None)]
+    found = vehicle_aggregate(spark.createDataFrame(rows, VEHICLE))
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [i for i, x in enumerate(lines) if "REBALANCE_PARTITIONS_BY_COL" in x]
+    assert len(dealt) == 1 and not any("Aggregate" in x for x in lines[dealt[0] :])
+    got = {r["crash_record_id"]: tuple(r)[1:] for r in found.collect()}
+    assert got == {
+        "a": ([("TAXI", 2)], [("FORD", 1), ("KIA", 2)], True, True, 5),
+        None: ([("BUS", 1)], [], None, False, 1),
+        "b": ([], [], None, False, None),
+    }
