@@ -87,7 +87,7 @@ def vehicle_aggregate(vehicles: DataFrame) -> DataFrame:
     grouped, however large the source's splits are; equal rows beyond that size are
     dealt to several. The grouping spreads an incident over reducers by each use and
     each make, counted as rows. Only its distinct values move on to the incident's own
-    reducer.
+    reducer, as rows: lists of parts of them would be wider and have to be merged.
     """
     spread = F.xxhash64(KEY, "vehicle_use", "make")
     dealt = vehicles.select(
@@ -127,7 +127,7 @@ def vehicle_aggregate(vehicles: DataFrame) -> DataFrame:
     def bag(kind: str) -> Column:
         return bags.collected_bag(F.when(F.col("kind") == _KINDS[kind], F.col("value")), F.col("n"))
 
-    return per_value.groupBy(KEY).agg(
+    return per_value.repartition(KEY).groupBy(KEY).agg(
         bag("vehicle_use").alias("vehicle_uses"),
         bag("make").alias("vehicle_makes"),
         F.bool_or("fire").alias("fire_happened"),

@@ -358,3 +358,18 @@ def test_vehicles_are_dealt_before_they_are_grouped(spark):
         None: ([("BUS", 1)], [], None, False, 1),
         "b": ([], [], None, False, None),
     }
+
+
+def test_values_reach_their_incident_as_rows(spark):
+    """Lists are made on the incident's own reducer only: none of a part travels."""
+    rows = [("a", "TAXI", "FORD", True, 2, "x"), ("a", "BUS", "FORD", None, 1, ""), (None, "BUS", None, None, 1, None)]
+    found = vehicle_aggregate(spark.createDataFrame(rows, VEHICLE))
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [i for i, x in enumerate(lines) if "Exchange hashpartitioning(crash_record_id" in x and "kind" not in x]
+    listed = [i for i, x in enumerate(lines) if "ObjectHashAggregate" in x]
+    assert len(dealt) == 1 and listed and max(listed) < dealt[0]
+    got = {r["crash_record_id"]: tuple(r)[1:] for r in found.collect()}
+    assert got == {
+        "a": ([("BUS", 1), ("TAXI", 1)], [("FORD", 2)], True, True, 3),
+        None: ([("BUS", 1)], [], None, False, 1),
+    }
