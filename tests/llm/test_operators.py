@@ -489,6 +489,35 @@ def test_repeats_removed(table, docs, length, shard_bytes):
     assert got == without_repeats(small, length)
 
 
+def test_finer_cuts_take_tasks_by_bytes(spark, monkeypatch):
+    """What is cut finer is a few kilobytes here, so one task has it on each level,
+    however many partitions a shuffle has."""
+    prepare_workers(spark)
+    files = collections.defaultdict(list)
+
+    def recorded(rows, label):
+        table = write(rows, label)
+        files[label].append(len(table.inputFiles()))
+        return table
+
+    write = repeated_spans.written
+    monkeypatch.setattr(repeated_spans, "written", recorded)
+    held = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    texts = [prose(i, 30) + prose(999, 12) + prose(500 + i, 30) for i in range(80)] * 2
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = repeated_spans.without_repeats(rows, length=100, shard_bytes=300).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == 160 and not any(r["kept"] for r in found)
+    assert len(files["anchors"]) > 1
+    assert set(files["anchors"][1:] + files["pieces"][1:]) == {1}
+
+
 def test_repeats_in_a_long_text(spark, empty):
     """Stretches of one text meet each other's strings."""
     part = prose(3, 400)
