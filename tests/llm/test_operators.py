@@ -5,6 +5,7 @@ import collections
 import gzip
 import hashlib
 import math
+import os
 import random
 import time
 import zlib
@@ -747,6 +748,34 @@ def test_states_sum_to_one(spark, kept):
             assert abs(sum(p) + left[0] * (1 - sum(lower)) - 1) < 1e-9 and min(p) > 0
 
 
+def test_language_model_leaves_no_broadcasts(spark, monkeypatch):
+    """A bitmap is as large as its grams ask for, and every node's copy goes when used up."""
+    prepare_workers(spark)
+    sent, sizes = [], []
+
+    def recorded(self, value):
+        sent.append(broadcast(self, value))
+        sizes.append(os.path.getsize(sent[-1]._path))
+        return sent[-1]
+
+    broadcast = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", recorded)
+    rows = [(i, prose(i, 200)) for i in range(50)]
+    suffix_tree_lm.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(sent) == 4 and max(sizes) < 1 << 20
+    assert not any(os.path.exists(b._path) for b in sent)
+
+
+def test_grams_are_found_among_keys():
+    draw = np.random.default_rng(5)
+    for n in (0, 1, 7, 5000):
+        keys = np.unique(np.append(draw.integers(0, 1 << 64, n, dtype=np.uint64), draw.integers(0, n + 1, n, dtype=np.uint64)))
+        asked = np.append(draw.integers(0, 1 << 64, 300, dtype=np.uint64), draw.permutation(keys))
+        found, at = suffix_tree_lm._found(keys, suffix_tree_lm._starts(keys), asked)
+        assert found.tolist() == np.isin(asked, keys).tolist()
+        assert (keys[at[found]] == asked[found]).all()
+
+
 # --- schema ------------------------------------------------------------------
 
 
