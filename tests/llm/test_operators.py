@@ -749,8 +749,17 @@ def test_states_sum_to_one(spark, kept):
 
 
 def test_language_model_leaves_no_broadcasts(spark, monkeypatch):
-    """A bitmap is as large as its grams ask for, and every node's copy goes when used up."""
+    """A bitmap is as large as its grams ask for, and every node's copy goes when used up;
+    the values of grams go before the result is read."""
     prepare_workers(spark)
+    tables = {}
+
+    def kept(rows, label):
+        tables[label] = write(rows, label)
+        return tables[label]
+
+    write = suffix_tree_lm.written
+    monkeypatch.setattr(suffix_tree_lm, "written", kept)
     sent, sizes = [], []
 
     def recorded(self, value):
@@ -762,6 +771,8 @@ def test_language_model_leaves_no_broadcasts(spark, monkeypatch):
     monkeypatch.setattr(type(spark.sparkContext), "broadcast", recorded)
     rows = [(i, prose(i, 200)) for i in range(50)]
     suffix_tree_lm.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    folders = {x: {os.path.dirname(f)[len("file:") :] for f in tables[x].inputFiles()} for x in ("values", "words")}
+    assert not any(map(os.path.exists, folders["values"])) and all(map(os.path.exists, folders["words"]))
     assert len(sent) == 4 and max(sizes) < 1 << 20
     assert not any(os.path.exists(b._path) for b in sent)
 
