@@ -11,6 +11,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -787,6 +788,42 @@ def test_grams_are_found_among_keys():
         assert (keys[at[found]] == asked[found]).all()
 
 
+def test_keys_are_sorted_whole():
+    """Also those that agree in all the leading bits that are sorted first."""
+    draw = np.random.default_rng(6)
+    for n in (0, 1, 5, 3000):
+        keys = draw.integers(0, 1 << 64, n, dtype=np.uint64)
+        keys[: n // 2] = (np.uint64(7) << np.uint64(60)) + draw.integers(0, 99, n // 2, dtype=np.uint64)
+        assert keys[suffix_tree_lm._order(keys)].tolist() == sorted(keys.tolist())
+
+
+def test_words_of_texts_are_hashed_like_words():
+    texts = ["Ab  c\td", None, "", " x ", "é" * 40 + " " + "Q" * 9, "a" * 8 + "\x0b" + "a" * 64 + "\r" + "a" * 65]
+    sizes, hashes = suffix_tree_lm.text_hashes(pa.array(texts, pa.string()))
+    words = [raw(t).lower().split() for t in texts]
+    assert sizes.tolist() == list(map(len, words))
+    flat = [w.decode() for own in words for w in own]
+    assert hashes.tolist() == suffix_tree_lm.word_hashes(pa.array(flat)).tolist()
+    assert len(set(hashes.tolist())) == len(set(flat))
+
+
+def test_grams_travel_packed(spark):
+    """A bucket's grams are one row from each task, and no shuffle outlives its write."""
+    prepare_workers(spark)
+    docs = spark.createDataFrame([(i, prose(i, 400)) for i in range(40)], "doc_id bigint, text string")
+    words = suffix_tree_lm.written(suffix_tree_lm.word_counts(docs.coalesce(2)), "words")
+    below = suffix_tree_lm._word_states(words, 16_000, words.count(), 2)
+    bits = suffix_tree_lm.bitmap(below, "gram")
+    grams = suffix_tree_lm._gram_counts(docs.coalesce(2), 2, bits, 2, buckets=8)
+    assert grams.count() > 200 and grams.packed.count() <= 64
+    seen = []
+    write = suffix_tree_lm.written
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffix_tree_lm, "written", lambda r, l: (seen.append(spark.conf.get(suffix_tree_lm._REMOVAL)), write(r, l))[1])
+        suffix_tree_lm.score(docs)
+    assert seen and set(seen) == {"true"} and spark.conf.get(suffix_tree_lm._REMOVAL) == "false"
+
+
 # --- schema ------------------------------------------------------------------
 
 
